@@ -1,0 +1,6 @@
+"""Streaming is intentionally empty.
+
+The source warehouse is a batch ELT project: every model is a full rebuild,
+with no incremental models, snapshots, watermarks or stateful operators.
+Nothing here is needed to reproduce it; see README "Not built".
+"""
