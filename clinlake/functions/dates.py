@@ -27,7 +27,7 @@ def hours_crossed(start: str | Column, end: str | Column) -> Column:
     """
     a = F.date_trunc("HOUR", _c(start))
     b = F.date_trunc("HOUR", _c(end))
-    return F.timestampdiff("HOUR", a, b)
+    return F.timestamp_diff("HOUR", a, b)
 
 
 def days_crossed(start: str | Column, end: str | Column) -> Column:
