@@ -27,6 +27,7 @@ class Context:
     raw: dict[str, DataFrame]
     as_of: dt.date = DEFAULT_AS_OF
     run_ts: dt.datetime = DEFAULT_RUN_TS
+    checkpoint_models: bool = False
     _models: dict = field(default_factory=dict, repr=False)
 
     @classmethod
@@ -52,8 +53,28 @@ class Context:
     def ref(self, model: Callable[[Context], DataFrame]) -> DataFrame:
         key = model.__name__
         if key not in self._models:
-            self._models[key] = model(self)
+            df = model(self)
+            if self.checkpoint_models:
+                # reliable checkpoint into the shared checkpoint folder: the
+                # model is computed once and later plans scan it
+                df = df.checkpoint(eager=True)
+            self._models[key] = df
         return self._models[key]
 
+    def materialized(self) -> Context:
+        """A context whose models are checkpointed when first used.
+
+        Used by consumers that read many models at once (the quality
+        suite): each model is computed once and every test scans its
+        checkpoint, instead of one plan re-deriving the whole lineage per
+        test.  Models already built (or read from written tables) are kept.
+        """
+        if self.checkpoint_models:
+            return self
+        from clinlake.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
+        return Context(self.spark, self.raw, self.as_of, self.run_ts, True, dict(self._models))
+
     def source(self, name: str) -> DataFrame:
         return self.raw[name]

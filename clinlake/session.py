@@ -44,6 +44,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
