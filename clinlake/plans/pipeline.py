@@ -1,0 +1,63 @@
+"""End-to-end build: marts and reports written as tables, then the quality
+suite and the audit log.
+
+Staging and intermediate models stay lazy views; dimensions, facts and
+reports are written (full rebuild) to ``{out}/{layer}/{model}`` and every
+downstream model reads the written table.  Those writes are the lineage
+cuts: after an executor loss Spark recomputes from the last table, and the
+report plans are small scans of facts instead of the whole lineage.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import time
+import uuid
+
+from pyspark.sql import DataFrame
+
+from clinlake.context import Context
+from clinlake.plans import audit, marts, quality, reports
+from clinlake.sources.sinks import read_table, write_table
+
+LAYERS = [
+    ("marts", {"dim_date": marts.dim_date, **marts.MART_MODELS}),
+    ("reporting", reports.REPORT_MODELS),
+]
+
+
+def build(ctx: Context, out: str, models: list[str] | None = None) -> dict[str, str]:
+    """Write marts and reports in dependency order; returns model -> path."""
+    paths = {}
+    for layer, fns in LAYERS:
+        for name, fn in fns.items():
+            if models is not None and name not in models:
+                continue
+            paths[name] = write_table(ctx.ref(fn), out, layer, name)
+            # downstream models read the written table
+            ctx._models[fn.__name__] = read_table(ctx.spark, out, layer, name)
+    return paths
+
+
+def run_tests(ctx: Context, audit_path: str | None = None, invocation_id: str | None = None) -> DataFrame:
+    """Run every declared and singular test in one action; append the audit rows."""
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    t0 = time.perf_counter()
+    results = quality.column_test_results(ctx).unionByName(quality.singular_results(ctx))
+    results = results.checkpoint(eager=True)  # one action runs the whole suite
+    elapsed = time.perf_counter() - t0
+    if audit_path:
+        rows = audit.audit_rows(results, invocation_id or str(uuid.uuid4()), started,
+                                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0), elapsed)
+        audit.log_test_results(rows, audit_path)
+    return results
+
+
+def run(ctx: Context, out: str, with_tests: bool = True) -> dict:
+    paths = build(ctx, out)
+    summary = {"tables": paths}
+    if with_tests:
+        res = run_tests(ctx.materialized(), audit_path=f"{out.rstrip('/')}/audit/test_results")
+        summary["tests"] = {r["status"]: r["n"] for r in res.groupBy("status").count()
+                            .withColumnRenamed("count", "n").collect()}
+    return summary

@@ -1,0 +1,28 @@
+"""Full build to tables, suite run and audit log (append twice, evolving schema)."""
+import tempfile
+
+from pyspark.sql import functions as F
+
+from clinlake.context import Context
+from clinlake.plans import audit, pipeline
+from conftest import SF_SMALL
+
+
+def test_build_tests_and_audit(spark):
+    out = tempfile.mkdtemp(prefix="clinlake-pipe-")
+    ctx = Context.from_bench(spark, SF_SMALL)
+    summary = pipeline.run(ctx, out)
+    assert set(summary["tables"]) >= {"dim_date", "fct_encounters", "rpt_high_risk_patients"}
+    assert sum(summary["tests"].values()) == 210
+    # second run with an extra column: the log keeps both, old rows read NULL
+    res = pipeline.run_tests(ctx.materialized())
+    rows = audit.audit_rows(res, "second", ctx.run_ts, ctx.run_ts).withColumn("extra_note", F.lit("x"))
+    audit.log_test_results(rows, f"{out}/audit/test_results")
+    log = audit.read_audit(spark, f"{out}/audit/test_results")
+    assert log.count() == 420
+    assert log.filter(F.col("extra_note").isNull()).count() == 210
+    stages = {r.stage for r in audit.audit_stage_summary(log).collect()}
+    assert stages <= {"staging", "intermediate", "marts", "reporting"}
+    assert audit.latest_audit_rows(log).count() == 10
+    t = audit.audit_totals(log).first()
+    assert t.total_tests == 210
