@@ -54,9 +54,11 @@ class Context:
         key = model.__name__
         if key not in self._models:
             df = model(self)
-            if self.checkpoint_models:
+            if self.checkpoint_models and not getattr(model, "projection_only", False):
                 # reliable checkpoint into the shared checkpoint folder: the
-                # model is computed once and later plans scan it
+                # model is computed once and later plans scan it.  Pure
+                # projections of a source stay lazy: re-scanning the source
+                # is cheaper than writing and re-reading a copy of it.
                 df = df.checkpoint(eager=True)
             self._models[key] = df
         return self._models[key]

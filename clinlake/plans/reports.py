@@ -182,6 +182,12 @@ def rpt_provider_performance(ctx: Context) -> DataFrame:
         flag.alias("quality_flag"), _refreshed(ctx)))
 
 
+def latest_patient_versions(ctx: Context) -> DataFrame:
+    """Latest insurance version of every patient (effective_from, then version,
+    descending), as a partially aggregated top-1 per patient."""
+    return top1(ctx.ref(dim_patient), ["patient_id"], LATEST_PERIOD)
+
+
 def rpt_high_risk_patients(ctx: Context) -> DataFrame:
     """Patients scored Moderate or above.
 
@@ -192,9 +198,8 @@ def rpt_high_risk_patients(ctx: Context) -> DataFrame:
     patient id, so they come out hash-partitioned on it and the joins to
     the latest-period patients reuse that partitioning.
     """
-    dp = ctx.ref(dim_patient).select("patient_id", "first_name", "last_name", "patient_gender", "date_of_birth",
-                                     "payer_name", "effective_from", "scd2_version")
-    latest = top1(dp, ["patient_id"], LATEST_PERIOD)
+    latest = ctx.ref(latest_patient_versions).select("patient_id", "first_name", "last_name", "patient_gender",
+                                                      "date_of_birth", "payer_name")
     e = ctx.ref(int_encounter_enriched)
     pe = e.groupBy("patient_id").agg(
         F.countDistinct("encounter_id").alias("total_encounters"),

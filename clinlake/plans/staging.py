@@ -182,3 +182,6 @@ STAGING_MODELS = {
     "stg_payers": stg_payers,
     "stg_payer_transitions": stg_payer_transitions,
 }
+
+for _fn in STAGING_MODELS.values():
+    _fn.projection_only = True
