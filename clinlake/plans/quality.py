@@ -573,3 +573,84 @@ QUALITY_QUERIES = {
     "dq_source_freshness": dq_source_freshness,
     "dq_report_profile": dq_report_profile,
 }
+
+
+# -- schema contracts (enforced column names and types of the staging models) -------
+# The declared contract, column name and warehouse type, in order.
+STAGING_CONTRACTS = {
+    "stg_patients": "patient_id varchar, birth_date date, death_date date, social_security_number varchar, "
+                    "drivers_license_number varchar, passport_number varchar, name_prefix varchar, first_name varchar, "
+                    "last_name varchar, name_suffix varchar, maiden_name varchar, marital_status varchar, race varchar, "
+                    "ethnicity varchar, patient_gender varchar, birth_place varchar, home_address_line_1 varchar, "
+                    "home_address_city varchar, home_address_county varchar, home_address_state varchar, "
+                    "home_address_postal_code varchar, home_address_latitude float, home_address_longitude float, "
+                    "healthcare_expenses float, healthcare_coverage float, loaded_at timestamp_ntz",
+    "stg_encounters": "encounter_id varchar, started_at timestamp_ntz, ended_at timestamp_ntz, patient_id varchar, "
+                      "provider_id varchar, organization_id varchar, payer_id varchar, encounter_class varchar, "
+                      "is_emergency_visit varchar, is_inpatient_visit varchar, encounter_code varchar, "
+                      "encounter_description varchar, base_encounter_cost float, total_claim_cost float, "
+                      "encounter_payer_coverage float, encounter_reason_code varchar, "
+                      "encounter_reason_description varchar, loaded_at timestamp_ntz",
+    "stg_conditions": "started_at timestamp_ntz, stopped_at timestamp_ntz, patient_id varchar, encounter_id varchar, "
+                      "condition_code varchar, condition_description varchar, loaded_at timestamp_ntz",
+    "stg_medications": "started_at timestamp_ntz, stopped_at timestamp_ntz, patient_id varchar, payer_id varchar, "
+                       "encounter_id varchar, medication_code varchar, medication_description varchar, "
+                       "medication_base_cost float, medication_dispense_count number, medication_total_cost float, "
+                       "medication_reason_code varchar, medication_reason_description varchar, "
+                       "medication_payer_coverage float, loaded_at timestamp_ntz",
+    "stg_procedures": "procedure_at timestamp_ntz, patient_id varchar, encounter_id varchar, procedure_code varchar, "
+                      "procedure_description varchar, procedure_base_cost float, procedure_reason_code varchar, "
+                      "procedure_reason_description varchar, loaded_at timestamp_ntz",
+    "stg_providers": "provider_id varchar, organization_id varchar, provider_name varchar, provider_gender varchar, "
+                     "provider_specialty varchar, address_line_1 varchar, address_city varchar, address_state varchar, "
+                     "address_postal_code varchar, address_latitude float, address_longitude float, "
+                     "provider_utilization number, loaded_at timestamp_ntz",
+    "stg_organizations": "organization_id varchar, organization_name varchar, address_line_1 varchar, "
+                         "address_city varchar, address_state varchar, address_postal_code varchar, "
+                         "address_latitude float, address_longitude float, organization_phone_number number, "
+                         "organization_revenue float, organization_utilization number, loaded_at timestamp_ntz",
+    "stg_payers": "payer_id varchar, payer_name varchar, headquarters_address_line_1 varchar, "
+                  "headquarters_address_city varchar, headquarters_address_state varchar, "
+                  "headquarters_address_postal_code varchar, payer_phone_number number, amount_covered float, "
+                  "amount_uncovered float, payer_revenue float, covered_encounters number, uncovered_encounters number, "
+                  "covered_medications number, uncovered_medications number, covered_procedures number, "
+                  "uncovered_procedures number, covered_immunizations number, uncovered_immunizations number, "
+                  "unique_customers number, qols_avg float, member_months number, loaded_at timestamp_ntz",
+    "stg_payer_transitions": "patient_id varchar, coverage_start_year number, coverage_end_year number, "
+                             "payer_id varchar, coverage_ownership_type varchar, loaded_at timestamp_ntz",
+}
+# warehouse type -> Spark type
+CONTRACT_TYPES = {"varchar": "string", "float": "double", "number": "bigint", "date": "date",
+                  "timestamp_ntz": "timestamp_ntz"}
+
+
+def contract_of(model: str) -> list[tuple[str, str]]:
+    return [tuple(part.strip().split(" ")) for part in STAGING_CONTRACTS[model].split(",")]
+
+
+def contract_violations(df: DataFrame, contract: list[tuple[str, str]]) -> list[tuple[str, str, str, str]]:
+    """(column, expected, actual, problem) for every column that breaks the contract.
+
+    Reads only the analyzed schema: no Spark job runs.
+    """
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = []
+    for name, wtype in contract:
+        want = CONTRACT_TYPES[wtype]
+        if name not in actual:
+            out.append((name, want, None, "missing"))
+        elif actual[name] != want:
+            out.append((name, want, actual[name], "type"))
+    declared = {n for n, _ in contract}
+    out += [(n, None, t, "undeclared") for n, t in actual.items() if n not in declared]
+    return out
+
+
+def dq_schema_contracts(ctx: Context) -> DataFrame:
+    """One row per staging model: contract size and number of violating columns."""
+    rows = []
+    for model in STAGING_CONTRACTS:
+        df = model_frame(ctx, model)
+        bad = contract_violations(df, contract_of(model))
+        rows.append((model, len(contract_of(model)), len(bad), "pass" if not bad else "fail"))
+    return ctx.spark.createDataFrame(rows, "model string, declared_columns int, violations int, status string")

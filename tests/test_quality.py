@@ -51,3 +51,16 @@ def test_overlap_check_scale_form_equals_pairs(spark):
     want = sorted((a[1], b[1]) for a in rows for b in rows
                   if a[0] == b[0] and a[1] < b[1] and a[3] >= b[2])
     assert got == want == [(1, 2), (2, 3)]
+
+
+def test_schema_contracts_hold_and_detect_drift(spark):
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+
+    ctx = Context.from_bench(spark, SF_SMALL)
+    for model in Q.STAGING_CONTRACTS:
+        assert Q.contract_violations(Q.model_frame(ctx, model), Q.contract_of(model)) == [], model
+    drifted = Q.model_frame(ctx, "stg_payers").withColumn("payer_revenue", F.col("payer_revenue").cast("string")) \
+        .drop("qols_avg").withColumn("extra", F.lit(1))
+    probs = {p[0]: p[3] for p in Q.contract_violations(drifted, Q.contract_of("stg_payers"))}
+    assert probs == {"payer_revenue": "type", "qols_avg": "missing", "extra": "undeclared"}
