@@ -57,6 +57,12 @@ def test_matches_brute_force_with_a_hot_entity(spark):
             t = rnd.choice(cands)[2]
             pid = [c for c in cands if c[2] == t][0][1]
         anchors.append((f"a{i}", pid, t))
+    # copies: one encounter repeated many times at one instant, and
+    # discharges repeated at one instant
+    hot_t = base + dt.timedelta(hours=500)
+    cands += [(f"e{k % 3}", "hot", hot_t, "o9") for k in range(300)]
+    anchors += [(f"c{k}", "hot", hot_t - dt.timedelta(minutes=1)) for k in range(50)]
+    anchors += [(f"d{k}", "hot", hot_t) for k in range(50)]
     want = brute(anchors, cands)
     for bucket in ("DAY", "HOUR", "MONTH"):
         assert run(spark, anchors, cands, bucket) == want
