@@ -66,8 +66,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names that folder; it is only set here when it is unset,
-    which happens in tests and local benchmarks.
+    The cluster names that folder; it is only set here when it is unset
+    and the session runs in local mode (tests, local benchmarks).  On a
+    cluster an unset folder is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -75,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints on a cluster must "
+                           "survive the loss of the machine that wrote them")
     local = tempfile.mkdtemp(prefix="clinlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
