@@ -77,8 +77,23 @@ def load_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str,
     for name, schema in RAW_SCHEMAS.items():
         path = f"{root}/{name}"
         if fmt == "csv":
-            df = spark.read.schema(schema).option("header", True).csv(path)
+            df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
         else:
             df = spark.read.schema(schema).format(fmt).load(path)
         out[name] = df
     return out
+
+
+# text cells keep their blanks (cleaning them is the staging layer's job)
+CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_raw(raw: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
+    """Export raw tables to ``{root}/{table}`` (parquet or csv), e.g. to stage
+    extracts for :func:`load_raw`."""
+    for name, df in raw.items():
+        w = conform(df, name).write.mode("overwrite")
+        if fmt == "csv":
+            w.options(**CSV_OPTIONS).csv(f"{root}/{name}")
+        else:
+            w.format(fmt).save(f"{root}/{name}")
