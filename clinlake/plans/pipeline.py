@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from clinlake.context import Context
 from clinlake.plans import audit, marts, quality, reports
-from clinlake.sources.sinks import read_table, write_table
+from clinlake.sources.sinks import read_table, write_bucketed_table, write_table
 
 LAYERS = [
     ("marts", {"dim_date": marts.dim_date, **marts.MART_MODELS}),
@@ -26,16 +26,40 @@ LAYERS = [
 ]
 
 
-def build(ctx: Context, out: str, models: list[str] | None = None) -> dict[str, str]:
-    """Write marts and reports in dependency order; returns model -> path."""
+# Facts are bucketed on the key they are joined and grouped by downstream:
+# readmissions meet their index encounter on the encounter id, and the
+# primary diagnosis is a top-1 of clinical events per encounter key.
+FACT_BUCKETS = {
+    "fct_encounters": ["encounter_id"],
+    "fct_readmissions": ["index_encounter_id"],
+    "fct_clinical_events": ["encounter_key"],
+}
+
+
+def build(ctx: Context, out: str, models: list[str] | None = None, database: str = "clinlake",
+          buckets: int | None = None) -> dict[str, str]:
+    """Write marts and reports in dependency order; returns model -> path.
+
+    ``buckets`` (default: the session's shuffle partitions) is the bucket
+    count of the fact tables; all facts share it so their joins on the
+    bucket keys are shuffle-free.
+    """
+    spark = ctx.spark
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     paths = {}
     for layer, fns in LAYERS:
         for name, fn in fns.items():
             if models is not None and name not in models:
                 continue
-            paths[name] = write_table(ctx.ref(fn), out, layer, name)
+            if name in FACT_BUCKETS:
+                paths[name] = write_bucketed_table(ctx.ref(fn), out, layer, name, database,
+                                                   FACT_BUCKETS[name], buckets)
+                written = spark.table(f"{database}.{name}")
+            else:
+                paths[name] = write_table(ctx.ref(fn), out, layer, name)
+                written = read_table(spark, out, layer, name)
             # downstream models read the written table
-            ctx._models[fn.__name__] = read_table(ctx.spark, out, layer, name)
+            ctx._models[fn.__name__] = written
     return paths
 
 

@@ -82,10 +82,13 @@ def primary_diagnosis(ctx: Context) -> DataFrame:
 def rpt_readmission_rate_monthly(ctx: Context) -> DataFrame:
     """30-day readmission rate by discharge month x primary diagnosis x payer."""
     fe = ctx.ref(fct_encounters).select("encounter_id", "encounter_key", "payer_key")
-    idx = fe.join(ctx.ref(primary_diagnosis), "encounter_key", "left")
     py = ctx.ref(dim_payer).select(F.col("payer_key").alias("py_payer_key"), "payer_name")
     fr = ctx.ref(fct_readmissions).select("index_encounter_id", "discharge_date_key", "is_30_day_readmission")
-    re = (fr.join(idx, fr.index_encounter_id == idx.encounter_id, "left")
+    # discharges first meet their own encounter (on the encounter id), then
+    # the diagnosis (on the encounter key): the big encounter fact is
+    # shuffled once, and the second shuffle is only discharge-sized
+    re = (fr.join(fe, fr.index_encounter_id == fe.encounter_id, "left")
+          .join(ctx.ref(primary_diagnosis), "encounter_key", "left")
           .join(py, F.col("payer_key") == py.py_payer_key, "left"))
     agg = (re.groupBy(*_month_of_key("discharge_date_key"),
                       F.coalesce("primary_diagnosis", F.lit(UNKNOWN)).alias("primary_diagnosis"),

@@ -32,6 +32,23 @@ def read_table(spark: SparkSession, root: str, layer: str, model: str) -> DataFr
     return spark.read.parquet(table_path(root, layer, model))
 
 
+def write_bucketed_table(df: DataFrame, root: str, layer: str, model: str, database: str,
+                         bucket_by: Sequence[str], buckets: int) -> str:
+    """Full rebuild of a model as a bucketed Parquet table registered in the
+    catalog (data at the layer path).
+
+    Tables bucketed on the same key with the same bucket count join and
+    aggregate on that key without a shuffle; readers must go through the
+    catalog (``spark.table``) so the bucketing is known to the planner.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_catalog/{database}'")
+    path = table_path(root, layer, model)
+    (df.write.mode("overwrite").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+     .option("path", path).saveAsTable(f"{database}.{model}"))
+    return path
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to a Parquet table that may gain columns over time."""
     df.write.mode("append").parquet(path)

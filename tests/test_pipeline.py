@@ -26,3 +26,25 @@ def test_build_tests_and_audit(spark):
     assert audit.latest_audit_rows(log).count() == 10
     t = audit.audit_totals(log).first()
     assert t.total_tests == 210
+
+
+def test_bucketed_facts_join_without_shuffle(spark):
+    from clinlake.plans import reports
+
+    out = tempfile.mkdtemp(prefix="clinlake-bucket-")
+    ctx = Context.from_bench(spark, SF_SMALL)
+    pipeline.build(ctx, out, models=["fct_encounters", "fct_readmissions", "fct_clinical_events"],
+                   database="clinlake_bucket_test")
+    fe = spark.table("clinlake_bucket_test.fct_encounters")
+    fr = spark.table("clinlake_bucket_test.fct_readmissions")
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as for large tables
+    try:
+        j = fr.join(fe, fr.index_encounter_id == fe.encounter_id, "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        top = reports.primary_diagnosis(ctx)  # reads the bucketed clinical events table
+        assert "Exchange" not in top._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == fr.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
