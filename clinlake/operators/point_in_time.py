@@ -12,7 +12,7 @@ from clinlake.operators.ranking import top1
 
 def point_in_time_join(events: DataFrame, periods: DataFrame, key: str, event_date: Column,
                        valid_from: str, valid_to: str, event_id: Sequence[str],
-                       latest: Sequence[tuple] , prefix: str = "pit_") -> DataFrame:
+                       latest: Sequence[tuple], prefix: str = "pit_") -> DataFrame:
     """Attach to every event the latest period valid on its date.
 
     Left join on ``key`` with ``event_date BETWEEN valid_from AND valid_to``
@@ -21,15 +21,21 @@ def point_in_time_join(events: DataFrame, periods: DataFrame, key: str, event_da
     ("scd2_version","desc","first")]``).  Events without a valid period keep
     NULL period columns.  Period columns come back prefixed with ``prefix``.
 
-    Plan: a sort-merge (or size-checked broadcast) join on the entity key
-    with the range as a residual predicate; AQE splits a hot entity's
-    partition.  The top-1 step is a partially aggregated ``min(struct)``,
-    so repeated event ids never gather in one task.
+    Plan: a range join bucketed by year.  Each period is repeated once per
+    calendar year it covers and the join is an equi-join on (entity, year)
+    with the closed range as a residual predicate, so an entity with very
+    many events is spread over its years instead of one task, and each
+    event is only checked against the periods covering its year (exactly
+    the periods whose range can contain it).  The top-1 step is a
+    partially aggregated ``min(struct)``, so repeated event ids never
+    gather in one task.
     """
     p = periods.select([F.col(c).alias(prefix + c) for c in periods.columns])
+    p = p.withColumn("_pit_y", F.explode(F.sequence(F.year(prefix + valid_from), F.year(prefix + valid_to))))
     d = "_pit_event_date"
-    ev = events.withColumn(d, event_date)
-    cond = (ev[key] == p[prefix + key]) & ev[d].between(p[prefix + valid_from], p[prefix + valid_to])
-    joined = ev.join(p, cond, "left").drop(d)
+    ev = events.withColumn(d, event_date).withColumn("_pit_ey", F.year(d))
+    cond = ((ev[key] == p[prefix + key]) & (ev["_pit_ey"] == p["_pit_y"])
+            & ev[d].between(p[prefix + valid_from], p[prefix + valid_to]))
+    joined = ev.join(p, cond, "left").drop(d, "_pit_ey", "_pit_y")
     order = [(prefix + c, *rest) for c, *rest in latest]
     return top1(joined, list(event_id), order)

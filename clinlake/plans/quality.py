@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.context import Context
-from clinlake.functions.dates import money_sum  # noqa: F401  (re-exported for callers)
 from clinlake.plans import intermediate, marts, reports, staging
 
 
@@ -308,7 +307,8 @@ def _relationships(ctx: Context, df: DataFrame, t: ColumnTest) -> DataFrame:
     # pre-aggregate child keys: a hot key becomes one row per map task
     child = (base.filter(F.col(t.column).isNotNull()).groupBy(F.col(t.column).alias("_k"))
              .agg(F.count(F.lit(1)).alias("_n")))
-    parent = model_frame(ctx, parent_model).select(F.col(parent_col).alias("_k"))
+    # distinct parent keys, deduplicated map-side before the anti-join
+    parent = model_frame(ctx, parent_model).select(F.col(parent_col).alias("_k")).distinct()
     orphans = child.join(parent, "_k", "left_anti")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures")).select(*_meta(t), "failures")
 

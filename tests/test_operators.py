@@ -24,7 +24,9 @@ def test_top1_orders_and_breaks_ties_deterministically(spark):
 def test_point_in_time_latest_overlapping_and_orphan(spark):
     ev = spark.createDataFrame([("e1", "p", D(1997, 6, 1)), ("e2", "p", D(2005, 1, 1)), ("e3", "q", D(1997, 1, 1))],
                                "eid string, pid string, d date")
-    per = spark.createDataFrame([("p", D(1995, 1, 1), D(1997, 12, 31), 1), ("p", D(1997, 1, 1), D(1998, 12, 31), 2)],
+    per = spark.createDataFrame([("p", D(1995, 1, 1), D(1997, 12, 31), 1), ("p", D(1997, 1, 1), D(1998, 12, 31), 2),
+                                 ("p", D(1999, 1, 1), D(1996, 12, 31), 3),   # inverted: never valid
+                                 ("q", None, D(1999, 12, 31), 1)],            # no start: never valid
                                 "pid string, f date, t date, v int")
     out = point_in_time_join(ev, per, "pid", ev.d, "f", "t", ["eid"], [("f", "desc", "first"), ("v", "desc", "first")])
     got = {r.eid: r.pit_v for r in out.collect()}
