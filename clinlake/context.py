@@ -10,7 +10,9 @@ recomputing.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +34,8 @@ class Context:
     run_ts: dt.datetime = DEFAULT_RUN_TS
     checkpoint_models: bool = False
     _models: dict = field(default_factory=dict, repr=False)
+    _locks: dict = field(default_factory=dict, repr=False)
+    _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     @classmethod
     def from_bench(cls, spark: SparkSession, sf_dir: str, **kw) -> Context:
@@ -64,17 +68,30 @@ class Context:
     # -- lineage -------------------------------------------------------
     def ref(self, model: Callable[[Context], DataFrame]) -> DataFrame:
         key = model.__name__
-        if key not in self._models:
-            df = model(self)
-            if self.checkpoint_models and not getattr(model, "projection_only", False):
-                # reliable checkpoint into the shared checkpoint folder: the
-                # model is computed once and later plans scan it.  Pure
-                # projections of a source stay lazy: re-scanning the source
-                # is cheaper than writing and re-reading a copy of it.
-                df = df.checkpoint(eager=True)
-            self._models[key] = df
+        if key in self._models:
+            return self._models[key]
+        with self._guard:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:  # one builder per model, even when models build concurrently
+            if key not in self._models:
+                df = model(self)
+                if self.checkpoint_models and not getattr(model, "projection_only", False):
+                    # reliable checkpoint into the shared checkpoint folder:
+                    # the model is computed once and later plans scan it.
+                    # Pure projections of a source stay lazy: re-scanning
+                    # the source is cheaper than writing and re-reading it.
+                    df = df.checkpoint(eager=True)
+                self._models[key] = df
         return self._models[key]
 
+    def build_levels(self, levels: Sequence[Sequence[Callable[[Context], DataFrame]]], threads: int = 4) -> None:
+        """Build models level by level; models of one level (independent of
+        each other) are submitted as concurrent Spark jobs from ``threads``
+        driver threads."""
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for level in levels:
+                list(pool.map(self.ref, level))
+
     def materialized(self) -> Context:
         """A context whose models are checkpointed when first used.
 
@@ -90,5 +107,14 @@ class Context:
         ensure_checkpoint_dir(self.spark)
         return Context(self.spark, self.raw, self.as_of, self.run_ts, True, dict(self._models))
 
+    def materialize_warehouse(self, threads: int = 4) -> Context:
+        """Materialized context with every intermediate, mart and report model
+        checkpointed, independent models concurrently."""
+        from clinlake.plans.catalog import MODEL_LEVELS
+
+        ctx = self.materialized()
+        ctx.build_levels(MODEL_LEVELS, threads)
+        return ctx
+
     def source(self, name: str) -> DataFrame:
         return self.raw[name]

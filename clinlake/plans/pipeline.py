@@ -20,8 +20,14 @@ from clinlake.context import Context
 from clinlake.plans import audit, marts, quality, reports
 from clinlake.sources.sinks import read_table, write_bucketed_table, write_table
 
-LAYERS = [
-    ("marts", {"dim_date": marts.dim_date, **marts.MART_MODELS}),
+from concurrent.futures import ThreadPoolExecutor  # noqa: E402
+
+# (layer, models) in dependency order; models of one entry are independent
+# and are written concurrently
+LEVELS = [
+    ("marts", {"dim_date": marts.dim_date, "dim_patient": marts.dim_patient, "dim_provider": marts.dim_provider,
+               "dim_organization": marts.dim_organization, "dim_payer": marts.dim_payer}),
+    ("marts", {n: marts.MART_MODELS[n] for n in ("fct_encounters", "fct_readmissions", "fct_clinical_events")}),
     ("reporting", reports.REPORT_MODELS),
 ]
 
@@ -37,29 +43,33 @@ FACT_BUCKETS = {
 
 
 def build(ctx: Context, out: str, models: list[str] | None = None, database: str = "clinlake",
-          buckets: int | None = None) -> dict[str, str]:
+          buckets: int | None = None, threads: int = 4) -> dict[str, str]:
     """Write marts and reports in dependency order; returns model -> path.
 
     ``buckets`` (default: the session's shuffle partitions) is the bucket
     count of the fact tables; all facts share it so their joins on the
-    bucket keys are shuffle-free.
+    bucket keys are shuffle-free.  Independent models of one level are
+    written as concurrent Spark jobs from ``threads`` driver threads.
     """
     spark = ctx.spark
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     paths = {}
-    for layer, fns in LAYERS:
-        for name, fn in fns.items():
-            if models is not None and name not in models:
-                continue
-            if name in FACT_BUCKETS:
-                paths[name] = write_bucketed_table(ctx.ref(fn), out, layer, name, database,
-                                                   FACT_BUCKETS[name], buckets)
-                written = spark.table(f"{database}.{name}")
-            else:
-                paths[name] = write_table(ctx.ref(fn), out, layer, name)
-                written = read_table(spark, out, layer, name)
-            # downstream models read the written table
-            ctx._models[fn.__name__] = written
+
+    def write(layer, name, fn):
+        if name in FACT_BUCKETS:
+            path = write_bucketed_table(ctx.ref(fn), out, layer, name, database, FACT_BUCKETS[name], buckets)
+            written = spark.table(f"{database}.{name}")
+        else:
+            path = write_table(ctx.ref(fn), out, layer, name)
+            written = read_table(spark, out, layer, name)
+        # downstream models read the written table
+        ctx._models[fn.__name__] = written
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for layer, fns in LEVELS:
+            todo = [(layer, n, fn) for n, fn in fns.items() if models is None or n in models]
+            paths.update(pool.map(lambda a: write(*a), todo))
     return paths
 
 

@@ -314,7 +314,7 @@ def _relationships(ctx: Context, df: DataFrame, t: ColumnTest) -> DataFrame:
 
 
 def column_test_results(ctx: Context, tests: list[ColumnTest] | None = None) -> DataFrame:
-    ctx = ctx.materialized()
+    ctx = ctx.materialized() if tests is not None else ctx.materialize_warehouse()
     tests = tests if tests is not None else declared_tests()
     by_model: dict[str, list[ColumnTest]] = {}
     for t in tests:
@@ -496,7 +496,7 @@ SINGULAR = {
 
 
 def singular_results(ctx: Context) -> DataFrame:
-    ctx = ctx.materialized()
+    ctx = ctx.materialize_warehouse()
     parts = []
     for name, (layer, fn) in SINGULAR.items():
         parts.append(fn(ctx).agg(F.count(F.lit(1)).alias("failures")).select(
@@ -550,7 +550,7 @@ def dq_source_freshness(ctx: Context) -> DataFrame:
 def dq_report_profile(ctx: Context) -> DataFrame:
     """Row counts of the five reports plus distinct patients with encounters,
     open conditions and the is_current distribution of the patient dimension."""
-    ctx = ctx.materialized()
+    ctx = ctx.materialize_warehouse()
     parts = [ctx.ref(fn).agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
              for name, fn in reports.REPORT_MODELS.items()]
     parts.append(ctx.ref(intermediate.int_encounter_enriched).agg(F.countDistinct("patient_id").alias("value"))
