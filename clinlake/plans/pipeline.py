@@ -87,8 +87,8 @@ def run_tests(ctx: Context, audit_path: str | None = None, invocation_id: str |
     return results
 
 
-def run(ctx: Context, out: str, with_tests: bool = True) -> dict:
-    paths = build(ctx, out)
+def run(ctx: Context, out: str, with_tests: bool = True, threads: int = 4) -> dict:
+    paths = build(ctx, out, threads=threads)
     summary = {"tables": paths}
     if with_tests:
         res = run_tests(ctx.materialized(), audit_path=f"{out.rstrip('/')}/audit/test_results")
