@@ -53,6 +53,28 @@ def fiscal_quarter(d: str | Column) -> Column:
             .otherwise(F.lit(4)))
 
 
+CALENDAR_ATTRIBUTES = {
+    "date_key": date_key,
+    "calendar_date": lambda d: d,
+    "day_of_month": F.dayofmonth,
+    "day_of_week": F.dayname,
+    "day_of_week_num": lambda d: F.dayofweek(d) - 1,
+    "week_of_year": F.weekofyear,
+    "iso_week": F.weekofyear,
+    "month_num": F.month,
+    "month_name": F.monthname,
+    "quarter_num": F.quarter,
+    "year_num": F.year,
+    "fiscal_year": lambda d: fiscal_year(d),
+    "fiscal_quarter": lambda d: fiscal_quarter(d),
+    "year_month": lambda d: F.date_format(d, "yyyy-MM"),
+    "year_quarter": lambda d: F.concat(F.year(d).cast("string"), F.lit("-Q"), F.quarter(d).cast("string")),
+    "is_weekend": lambda d: yes_no_from_boolean(F.dayname(d).isin("Sat", "Sun")),
+    "is_month_start": lambda d: yes_no_from_boolean(F.dayofmonth(d) == 1),
+    "is_month_end": lambda d: yes_no_from_boolean(d == F.last_day(d)),
+}
+
+
 def calendar_attributes(d: str | Column) -> dict[str, Column]:
     """All attributes of the date dimension, as expressions of one date.
 
@@ -60,26 +82,7 @@ def calendar_attributes(d: str | Column) -> dict[str, Column]:
     with these expressions instead of joining the calendar table.
     """
     d = _c(d)
-    return {
-        "date_key": date_key(d),
-        "calendar_date": d,
-        "day_of_month": F.dayofmonth(d),
-        "day_of_week": F.dayname(d),
-        "day_of_week_num": F.dayofweek(d) - 1,
-        "week_of_year": F.weekofyear(d),
-        "iso_week": F.weekofyear(d),
-        "month_num": F.month(d),
-        "month_name": F.monthname(d),
-        "quarter_num": F.quarter(d),
-        "year_num": F.year(d),
-        "fiscal_year": fiscal_year(d),
-        "fiscal_quarter": fiscal_quarter(d),
-        "year_month": F.date_format(d, "yyyy-MM"),
-        "year_quarter": F.concat(F.year(d).cast("string"), F.lit("-Q"), F.quarter(d).cast("string")),
-        "is_weekend": yes_no_from_boolean(F.dayname(d).isin("Sat", "Sun")),
-        "is_month_start": yes_no_from_boolean(F.dayofmonth(d) == 1),
-        "is_month_end": yes_no_from_boolean(d == F.last_day(d)),
-    }
+    return {name: fn(d) for name, fn in CALENDAR_ATTRIBUTES.items()}
 
 
 def in_calendar(d: str | Column) -> Column:
@@ -90,7 +93,8 @@ def in_calendar(d: str | Column) -> Column:
 def calendar_lookup(d: str | Column, name: str) -> Column:
     """Attribute of the calendar row for ``d``; NULL when ``d`` is outside the
     calendar, i.e. exactly what a left join to the date dimension gives."""
-    return F.when(in_calendar(d), calendar_attributes(d)[name])
+    d = _c(d)
+    return F.when(in_calendar(d), CALENDAR_ATTRIBUTES[name](d))
 
 
 def round2(c: Column, scale: int = 2) -> Column:

@@ -74,10 +74,18 @@ def dim_payer(ctx: Context) -> DataFrame:
 
 
 # -- facts -------------------------------------------------------------------
-def _periods(ctx: Context) -> DataFrame:
+def insurance_period_ranges(ctx: Context) -> DataFrame:
+    """The columns of the insurance periods the point-in-time joins need."""
     return ctx.ref(int_patient_insurance_periods).select(*PERIOD_COLUMNS)
 
 
+insurance_period_ranges.projection_only = True
+
+
+def _periods(ctx: Context) -> DataFrame:
+    return ctx.ref(insurance_period_ranges)
+
+
 def _patient_key() -> F.Column:
     # unmatched events hash two empty parts: md5('|'), never NULL
     return surrogate_key(F.col("pit_patient_id"), F.col("pit_effective_from")).alias("patient_key")
