@@ -22,6 +22,8 @@ CARE_SETTINGS = {
 }
 OTHER_CARE_SETTING = "other"
 OPEN_END_YEAR = 9999
+VERSION_TIE_BREAK = ["coverage_end_year", "payer_name", "first_name", "last_name", "patient_gender", "race",
+                     "ethnicity", "date_of_birth"]
 
 
 def care_setting(encounter_class: F.Column) -> F.Column:
@@ -48,7 +50,11 @@ def int_patient_insurance_periods(ctx: Context) -> DataFrame:
     as_of_year = F.year(ctx.as_of_col())
     start_y = F.col("coverage_start_year")
     end_y = F.col("coverage_end_year")
-    version = Window.partitionBy("patient_id").orderBy(start_y.asc_nulls_last(), F.col("payer_id").asc_nulls_last())
+    # start year then payer, as in the source; the remaining columns only
+    # break ties between copies, so that a recomputed task (after an
+    # executor loss) numbers them exactly as the first attempt did
+    version = Window.partitionBy("patient_id").orderBy(
+        *[F.col(c).asc_nulls_last() for c in ["coverage_start_year", "payer_id"] + VERSION_TIE_BREAK])
     return (pb.join(pt, "patient_id", "inner")
             .join(py, "payer_id", "left")
             .select(
