@@ -27,10 +27,11 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--threads", type=int, default=4, help="models built concurrently per level")
+    ap.add_argument("--profile", default="cluster", choices=["local", "cluster"], help="session sizing profile")
     ap.add_argument("--no-tests", action="store_true")
     a = ap.parse_args(argv)
 
-    spark = build_session(a.master)
+    spark = build_session(a.master, profile="local" if (a.master or "").startswith("local") else a.profile)
     kw = dict(as_of=a.as_of, run_ts=dt.datetime.now().replace(microsecond=0))
     ctx = (Context.from_raw(spark, a.raw, a.format, **kw) if a.raw else Context.from_bench(spark, a.bench, **kw))
     print(json.dumps(pipeline.run(ctx, a.out, with_tests=not a.no_tests, threads=a.threads), default=str))

@@ -30,19 +30,48 @@ SCALE_CONF = {
 }
 
 
+# Cluster profile for ~100 TB inputs on ~1000 executors.  Shuffle partitions
+# start high (about 256 MB each for the largest shuffle) and AQE coalesces
+# them toward the advisory size instead of maximising parallelism; scans
+# read 512 MB splits; dimensions up to 64 MB broadcast (by measured size),
+# larger ones sort-merge; partitions over 512 MB and 5x the median are
+# split as skewed.  Decommissioning migrates shuffle and cached blocks off
+# a departing executor so losing it does not force recomputation.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "clinlake") -> SparkSession:
+                  app_name: str = "clinlake", profile: str = "local") -> SparkSession:
     """Create (or reuse) a session with the warehouse settings.
 
     On a cluster ``master`` is left to spark-submit; locally pass
     ``local[N]``.  ``shuffle_partitions`` is only a starting point: AQE
     coalesces small partitions and splits skewed ones at runtime.
+    ``profile="cluster"`` adds :data:`CLUSTER_CONF` (values already set by
+    spark-submit win).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
+    if profile == "cluster":
+        for k, v in CLUSTER_CONF.items():
+            b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
