@@ -70,8 +70,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     if profile == "cluster":
+        from pyspark import SparkConf
+
+        submitted = SparkConf()  # what spark-submit / spark-defaults already set
         for k, v in CLUSTER_CONF.items():
-            b = b.config(k, v)
+            if not submitted.contains(k):
+                b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
