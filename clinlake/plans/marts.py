@@ -137,9 +137,6 @@ def fct_readmissions(ctx: Context) -> DataFrame:
         _loaded(ctx))
 
 
-EVENT_COLUMNS = ["clinical_event_key", "patient_id", "encounter_id", "event_type", "clinical_code",
-                 "clinical_description", "event_start_date", "event_end_date", "event_cost", "dispense_count",
-                 "duration_days", "is_chronic_condition"]
 # Copies of one event (same patient, encounter, type, code and start) keep
 # one row; these fixed tie-breakers make the surviving copy deterministic.
 DUPLICATE_TIE_BREAK = [("clinical_description", "asc", "last"), ("event_end_date", "asc", "last"),

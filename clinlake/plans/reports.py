@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.context import Context
-from clinlake.functions.dates import calendar_lookup, fiscal_year, money_avg, money_sum, round2
+from clinlake.functions.dates import calendar_lookup, fiscal_year, money_avg, money_sum, round2, years_crossed
 from clinlake.functions.keys import date_from_key, date_key, surrogate_key
 from clinlake.operators.ranking import top1
 from clinlake.plans.intermediate import int_encounter_enriched, int_readmission_flags
@@ -233,7 +233,7 @@ def rpt_high_risk_patients(ctx: Context) -> DataFrame:
         "patient_id",
         F.concat("first_name", F.lit(" "), "last_name").alias("patient_name"),
         "patient_gender",
-        (F.year(ctx.as_of_col()) - F.year("date_of_birth")).alias("age"),
+        years_crossed("date_of_birth", ctx.as_of_col()).alias("age"),
         "payer_name",
         F.coalesce("total_encounters", F.lit(0)).alias("total_encounters"),
         n_ed.alias("ed_visit_count"),
