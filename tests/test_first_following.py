@@ -66,3 +66,24 @@ def test_matches_brute_force_with_a_hot_entity(spark):
     want = brute(anchors, cands)
     for bucket in ("DAY", "HOUR", "MONTH"):
         assert run(spark, anchors, cands, bucket) == want
+
+
+def test_hot_entity_is_spread_over_partitions(spark):
+    """A patient holding over a third of all rows must not land in one task:
+    the windows partition by (patient, hour bucket), so its rows spread."""
+    import collections
+
+    from pyspark.sql import Window
+
+    base = dt.datetime(2000, 1, 1)
+    cands = [(f"e{i}", "hot" if i % 2 == 0 else f"p{i % 97}", base + dt.timedelta(minutes=37 * i), "o")
+             for i in range(6000)]
+    c = spark.createDataFrame(cands, "cid string, pid string, s timestamp_ntz, org string")
+    # the partitioning the in-bucket window requires: hash of (entity, bucket)
+    rows = (c.select(F.col("pid").alias("_k"), F.date_trunc("HOUR", "s").alias("_b"))
+            .repartition(16, "_k", "_b")
+            .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_k", "_b")))
+            .select("_k", F.spark_partition_id().alias("part")))
+    hot_parts = collections.Counter(r.part for r in rows.filter("_k = 'hot'").collect())
+    assert len(hot_parts) >= 12                       # spread over most partitions
+    assert max(hot_parts.values()) < 3000 / 4         # no partition holds a quarter of the hot rows
