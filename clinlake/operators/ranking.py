@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,3 +55,56 @@ def top1(df: DataFrame, by: Sequence[str], order: Sequence[Order]) -> DataFrame:
     packed = F.struct(*sort_fields(df, order), F.struct(*[F.col(c) for c in cols]).alias("_row"))
     return (df.groupBy(*by).agg(F.min(packed).alias("_top"))
             .select(*[F.col(f"_top._row.{c}").alias(c) for c in cols]))
+
+
+def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str,
+                    chunk: int = 1 << 16) -> DataFrame:
+    """``row_number() over (partition by P order by O)`` (O ascending, NULLs
+    last) without gathering a partition in one task.
+
+    ``P`` and ``O`` together must name every column, so rows that tie on
+    ``O`` are identical and any order among them gives the same output.
+
+    1. Identical rows collapse to (row, multiplicity) -- partial
+       aggregation, so copies shrink map-side.
+    2. Inside a bucket (P, first order key), distinct rows are numbered by
+       the remaining keys with a running sum of multiplicities.
+    3. Each bucket's offset is the running total over the partition's
+       buckets (a window over distinct leading-key values only).
+    4. Multiplicities expand back to rows.  Large ones are first cut into
+       chunk descriptors that are shuffled, so no task expands a huge group.
+    """
+    cols = df.columns
+    missing = set(cols) - set(partition_by) - set(order_by)
+    if missing:
+        raise ValueError(f"sequence_number needs every column in partition_by/order_by; missing {sorted(missing)}")
+    lead, rest = order_by[0], list(order_by[1:])
+    asc = lambda c: F.col(c).asc_nulls_last()
+    bucket = list(partition_by) + [lead]
+    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    seen = Window.unboundedPreceding
+    in_bucket = Window.partitionBy(*bucket).orderBy(*[asc(c) for c in rest]).rowsBetween(seen, -1)
+    rows = rows.withColumn("_before", F.coalesce(F.sum("_m").over(in_bucket), F.lit(0)))
+    totals = rows.groupBy(*[F.col(c) for c in bucket]).agg(F.sum("_m").alias("_tot"))
+    across = Window.partitionBy(*partition_by).orderBy(asc(lead)).rowsBetween(seen, -1)
+    offsets = (totals.withColumn("_offset", F.coalesce(F.sum("_tot").over(across), F.lit(0)))
+               .select(*[F.col(c).alias(f"_o_{c}") for c in bucket], "_offset"))
+    # NULL-safe join on the bucket (the leading key may be NULL)
+    cond = None
+    for c in bucket:
+        e = F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+        cond = e if cond is None else cond & e
+    numbered = (rows.join(offsets, cond, "inner")
+                .select(*cols, "_m", (F.col("_offset") + F.col("_before") + 1).alias("_first")))
+    single = numbered.filter(F.col("_m") == 1).select(*cols, F.col("_first").alias(name))
+    small = (numbered.filter((F.col("_m") > 1) & (F.col("_m") <= chunk))
+             .select(*cols, F.explode(F.sequence("_first", F.col("_first") + F.col("_m") - 1)).alias(name)))
+    big = (numbered.filter(F.col("_m") > chunk)
+           .select(*cols, "_first", "_m",
+                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_m - 1) div {int(chunk)}"))).alias("_c"))
+           .repartition("_first", "_c")
+           .select(*cols, F.explode(F.sequence(F.col("_first") + F.col("_c") * chunk,
+                                               F.least(F.col("_first") + F.col("_m") - 1,
+                                                       F.col("_first") + (F.col("_c") + 1) * chunk - 1)))
+                   .alias(name)))
+    return single.unionByName(small).unionByName(big).withColumn(name, F.col(name).cast("int"))

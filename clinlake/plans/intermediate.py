@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.context import Context
 from clinlake.functions.columns import yes_no_from_boolean
 from clinlake.functions.dates import days_crossed, hours_crossed, round2
 from clinlake.operators.first_following import first_following
+from clinlake.operators.ranking import sequence_number
 from clinlake.plans.staging import (stg_encounters, stg_organizations, stg_patients, stg_payer_transitions,
                                     stg_payers, stg_providers)
 
@@ -39,8 +40,10 @@ def int_patient_insurance_periods(ctx: Context) -> DataFrame:
 
     Coverage years become closed date ranges Jan 1 .. Dec 31; an open end
     runs to the end of the as-of year.  ``scd2_version`` numbers a
-    patient's periods by start year, then payer id.  The version window is
-    per patient; a patient's periods are bounded by the years of coverage.
+    patient's periods by start year, then payer id, with
+    :func:`~clinlake.operators.ranking.sequence_number`: no task ever holds
+    all of one patient's periods, and copies of a period collapse before
+    any shuffle.
     """
     pb = ctx.ref(stg_patients).select(
         "patient_id", "first_name", "last_name", "patient_gender", "race", "ethnicity",
@@ -50,22 +53,23 @@ def int_patient_insurance_periods(ctx: Context) -> DataFrame:
     as_of_year = F.year(ctx.as_of_col())
     start_y = F.col("coverage_start_year")
     end_y = F.col("coverage_end_year")
-    # start year then payer, as in the source; the remaining columns only
-    # break ties between copies, so that a recomputed task (after an
-    # executor loss) numbers them exactly as the first attempt did
-    version = Window.partitionBy("patient_id").orderBy(
-        *[F.col(c).asc_nulls_last() for c in ["coverage_start_year", "payer_id"] + VERSION_TIE_BREAK])
-    return (pb.join(pt, "patient_id", "inner")
-            .join(py, "payer_id", "left")
-            .select(
-                "patient_id", "first_name", "last_name", "patient_gender", "race", "ethnicity", "date_of_birth",
-                "payer_id", "payer_name",
-                F.make_date(start_y.cast("int"), F.lit(1), F.lit(1)).alias("effective_from"),
-                F.make_date(F.coalesce(end_y, as_of_year.cast("bigint")).cast("int"), F.lit(12), F.lit(31))
-                 .alias("effective_to"),
-                yes_no_from_boolean(F.coalesce(end_y, F.lit(OPEN_END_YEAR)) >= as_of_year).alias("is_current"),
-                F.row_number().over(version).alias("scd2_version"),
-            ))
+    # numbered by start year then payer, as in the source; the remaining
+    # columns only break ties between copies, so that a recomputed task
+    # (after an executor loss) numbers them exactly as the first attempt did
+    joined = (pb.join(pt, "patient_id", "inner").join(py, "payer_id", "left")
+              .select("patient_id", "first_name", "last_name", "patient_gender", "race", "ethnicity",
+                      "date_of_birth", "payer_id", "payer_name", "coverage_start_year", "coverage_end_year"))
+    numbered = sequence_number(joined, ["patient_id"], ["coverage_start_year", "payer_id"] + VERSION_TIE_BREAK,
+                               "scd2_version")
+    return numbered.select(
+        "patient_id", "first_name", "last_name", "patient_gender", "race", "ethnicity", "date_of_birth",
+        "payer_id", "payer_name",
+        F.make_date(start_y.cast("int"), F.lit(1), F.lit(1)).alias("effective_from"),
+        F.make_date(F.coalesce(end_y, as_of_year.cast("bigint")).cast("int"), F.lit(12), F.lit(31))
+         .alias("effective_to"),
+        yes_no_from_boolean(F.coalesce(end_y, F.lit(OPEN_END_YEAR)) >= as_of_year).alias("is_current"),
+        "scd2_version",
+    )
 
 
 def int_encounter_enriched(ctx: Context) -> DataFrame:

@@ -392,18 +392,31 @@ def check_int_scd2_no_overlap(ctx: Context) -> DataFrame:
     """Pairs of a patient's periods where an earlier version ends on or after a
     later version starts.
 
-    Scale form: a running ``max(effective_to)`` over the patient's earlier
-    versions flags the later versions that overlap something; only those
-    rows are paired, against the earlier versions that actually reach them
-    (the pair join emits the violations and nothing else).
+    Scale form: a row overlaps some earlier version iff the latest
+    ``effective_to`` among the patient's earlier versions reaches its
+    ``effective_from``.  Versions are ordered by start year first, so that
+    running maximum is the larger of (a) a running max inside the
+    (patient, start year) bucket and (b) the max over earlier start years,
+    taken from one row per bucket; neither window holds all of a patient's
+    periods.  Only the flagged rows are then paired with the earlier
+    versions that reach them, so the pair join emits the violations and
+    nothing else.
     """
-    p = _m(ctx, intermediate.int_patient_insurance_periods).select(
-        "patient_id", "scd2_version", "effective_from", "effective_to")
     from pyspark.sql import Window
 
-    w = Window.partitionBy("patient_id").orderBy("scd2_version").rowsBetween(Window.unboundedPreceding, -1)
-    flagged = (p.withColumn("_reach", F.max("effective_to").over(w))
-               .filter(F.col("_reach") >= F.col("effective_from"))
+    p = _m(ctx, intermediate.int_patient_insurance_periods).select(
+        "patient_id", "scd2_version", "effective_from", "effective_to")
+    y = F.year("effective_from")
+    seen = Window.unboundedPreceding
+    in_year = Window.partitionBy("patient_id", "_y").orderBy("scd2_version").rowsBetween(seen, -1)
+    with_y = p.withColumn("_y", y).withColumn("_reach_in", F.max("effective_to").over(in_year))
+    years = (with_y.groupBy("patient_id", "_y").agg(F.max("effective_to").alias("_ymax"))
+             .withColumn("_reach_before", F.max("_ymax").over(
+                 Window.partitionBy("patient_id").orderBy(F.col("_y").asc_nulls_last()).rowsBetween(seen, -1)))
+             .select(F.col("patient_id").alias("_yp"), F.col("_y").alias("_yy"), "_reach_before"))
+    reach = (with_y.join(years, (with_y.patient_id == years._yp) & with_y._y.eqNullSafe(years._yy), "left")
+             .withColumn("_reach", F.greatest("_reach_in", "_reach_before")))
+    flagged = (reach.filter(F.col("_reach") >= F.col("effective_from"))
                .select(F.col("patient_id").alias("_pid"), F.col("scd2_version").alias("overlapping_version"),
                        F.col("effective_from").alias("overlapping_effective_from")))
     j = p.join(flagged, (p.patient_id == flagged._pid) & (p.scd2_version < flagged.overlapping_version)

@@ -31,3 +31,27 @@ def test_point_in_time_latest_overlapping_and_orphan(spark):
     out = point_in_time_join(ev, per, "pid", ev.d, "f", "t", ["eid"], [("f", "desc", "first"), ("v", "desc", "first")])
     got = {r.eid: r.pit_v for r in out.collect()}
     assert got == {"e1": 2, "e2": None, "e3": None}
+
+
+def test_sequence_number_equals_row_number_with_copies_and_a_hot_key(spark):
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from clinlake.operators.ranking import sequence_number
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        p = "hot" if i % 3 == 0 else f"p{rnd.randrange(40)}"
+        y = rnd.choice([None, 1995, 1996, 1997, 1998])
+        rows.append((p, y, rnd.choice(["a", "b", None]), rnd.randrange(3)))
+    rows += [("hot", 1996, "a", 1)] * 700 + [("cold", None, None, 0)] * 5
+    df = spark.createDataFrame(rows, "p string, y int, s string, n int")
+    order = ["y", "s", "n"]
+    want = df.withColumn("v", F.row_number().over(
+        Window.partitionBy("p").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
+    for chunk in (1 << 16, 100):   # also through the chunked expansion
+        got = sequence_number(df, ["p"], order, "v", chunk=chunk)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
