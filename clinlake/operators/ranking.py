@@ -96,8 +96,7 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
         cond = e if cond is None else cond & e
     numbered = (rows.join(offsets, cond, "inner")
                 .select(*cols, "_m", (F.col("_offset") + F.col("_before") + 1).alias("_first")))
-    single = numbered.filter(F.col("_m") == 1).select(*cols, F.col("_first").alias(name))
-    small = (numbered.filter((F.col("_m") > 1) & (F.col("_m") <= chunk))
+    small = (numbered.filter(F.col("_m") <= chunk)
              .select(*cols, F.explode(F.sequence("_first", F.col("_first") + F.col("_m") - 1)).alias(name)))
     big = (numbered.filter(F.col("_m") > chunk)
            .select(*cols, "_first", "_m",
@@ -107,4 +106,4 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
                                                F.least(F.col("_first") + F.col("_m") - 1,
                                                        F.col("_first") + (F.col("_c") + 1) * chunk - 1)))
                    .alias(name)))
-    return single.unionByName(small).unionByName(big).withColumn(name, F.col(name).cast("int"))
+    return small.unionByName(big).withColumn(name, F.col(name).cast("int"))
