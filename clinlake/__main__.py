@@ -13,7 +13,7 @@ import datetime as dt
 import json
 
 from clinlake.context import Context
-from clinlake.plans import pipeline
+from clinlake.plans import warehouse
 from clinlake.session import build_session
 
 
@@ -34,7 +34,7 @@ def main(argv=None) -> None:
     spark = build_session(a.master, profile="local" if (a.master or "").startswith("local") else a.profile)
     kw = dict(as_of=a.as_of, run_ts=dt.datetime.now().replace(microsecond=0))
     ctx = (Context.from_raw(spark, a.raw, a.format, **kw) if a.raw else Context.from_bench(spark, a.bench, **kw))
-    print(json.dumps(pipeline.run(ctx, a.out, with_tests=not a.no_tests, threads=a.threads), default=str))
+    print(json.dumps(warehouse.run(ctx, a.out, with_tests=not a.no_tests, threads=a.threads), default=str))
 
 
 if __name__ == "__main__":

@@ -4,18 +4,18 @@ import tempfile
 from pyspark.sql import functions as F
 
 from clinlake.context import Context
-from clinlake.plans import audit, pipeline
+from clinlake.plans import audit, warehouse
 from conftest import SF_SMALL
 
 
 def test_build_tests_and_audit(spark):
     out = tempfile.mkdtemp(prefix="clinlake-pipe-")
     ctx = Context.from_bench(spark, SF_SMALL)
-    summary = pipeline.run(ctx, out)
+    summary = warehouse.run(ctx, out)
     assert set(summary["tables"]) >= {"dim_date", "fct_encounters", "rpt_high_risk_patients"}
     assert sum(summary["tests"].values()) == 210
     # second run with an extra column: the log keeps both, old rows read NULL
-    res = pipeline.run_tests(ctx.materialized())
+    res = warehouse.run_tests(ctx.materialized())
     rows = audit.audit_rows(res, "second", ctx.run_ts, ctx.run_ts).withColumn("extra_note", F.lit("x"))
     audit.log_test_results(rows, f"{out}/audit/test_results")
     log = audit.read_audit(spark, f"{out}/audit/test_results")
@@ -33,7 +33,7 @@ def test_bucketed_facts_join_without_shuffle(spark):
 
     out = tempfile.mkdtemp(prefix="clinlake-bucket-")
     ctx = Context.from_bench(spark, SF_SMALL)
-    pipeline.build(ctx, out, models=["fct_encounters", "fct_readmissions", "fct_clinical_events"],
+    warehouse.build(ctx, out, models=["fct_encounters", "fct_readmissions", "fct_clinical_events"],
                    database="clinlake_bucket_test")
     fe = spark.table("clinlake_bucket_test.fct_encounters")
     fr = spark.table("clinlake_bucket_test.fct_readmissions")
