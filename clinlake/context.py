@@ -24,6 +24,7 @@ DEFAULT_RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
 _BOUND: dict = {}
+_SHARED: dict = {}
 
 
 @dataclass
@@ -34,6 +35,7 @@ class Context:
     run_ts: dt.datetime = DEFAULT_RUN_TS
     checkpoint_models: bool = False
     _models: dict = field(default_factory=dict, repr=False)
+    _materialized: set = field(default_factory=set, repr=False)
     _locks: dict = field(default_factory=dict, repr=False)
     _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
@@ -52,6 +54,20 @@ class Context:
             _BOUND[key] = bind_raw(spark, sf_dir)
         return cls(spark, dict(_BOUND[key]), **kw)
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str, **kw) -> Context:
+        """One context per session, benchmark folder and clock.
+
+        Its models are lazy plans, defined once and reused by every query of
+        the session (each query still executes its whole plan from the
+        files).  Materialized copies (:meth:`materialized`) are private to
+        the query that makes them.
+        """
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+        if key not in _SHARED:
+            _SHARED[key] = cls.from_bench(spark, sf_dir, **kw)
+        return _SHARED[key]
+
     @classmethod
     def from_raw(cls, spark: SparkSession, root: str, fmt: str = "parquet", **kw) -> Context:
         from clinlake.sources.raw import load_raw
@@ -81,6 +97,7 @@ class Context:
                     # Pure projections of a source stay lazy: re-scanning
                     # the source is cheaper than writing and re-reading it.
                     df = df.checkpoint(eager=True)
+                    self._materialized.add(key)
                 self._models[key] = df
         return self._models[key]
 
@@ -98,14 +115,21 @@ class Context:
         Used by consumers that read many models at once (the quality
         suite): each model is computed once and every test scans its
         checkpoint, instead of one plan re-deriving the whole lineage per
-        test.  Models already built (or read from written tables) are kept.
+        test.  Models already materialized (checkpointed, or read back from
+        written tables) are kept; lazy ones are rebuilt and checkpointed.
         """
         if self.checkpoint_models:
             return self
         from clinlake.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(self.spark)
-        return Context(self.spark, self.raw, self.as_of, self.run_ts, True, dict(self._models))
+        kept = {k: v for k, v in self._models.items() if k in self._materialized}
+        return Context(self.spark, self.raw, self.as_of, self.run_ts, True, kept, set(kept))
+
+    def use_table(self, model: Callable[[Context], DataFrame], df: DataFrame) -> None:
+        """Downstream models read ``df`` (a written table) for ``model``."""
+        self._models[model.__name__] = df
+        self._materialized.add(model.__name__)
 
     def materialize_warehouse(self, threads: int = 4) -> Context:
         """Materialized context with every intermediate, mart and report model

@@ -62,8 +62,7 @@ def build(ctx: Context, out: str, models: list[str] | None = None, database: str
         else:
             path = write_table(ctx.ref(fn), out, layer, name)
             written = read_table(spark, out, layer, name)
-        # downstream models read the written table
-        ctx._models[fn.__name__] = written
+        ctx.use_table(fn, written)  # downstream models read the written table
         return name, path
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
