@@ -91,11 +91,13 @@ class Context:
         with lock:  # one builder per model, even when models build concurrently
             if key not in self._models:
                 df = model(self)
-                if self.checkpoint_models and not getattr(model, "projection_only", False):
+                if self.checkpoint_models and not getattr(model, "keep_lazy", False):
                     # reliable checkpoint into the shared checkpoint folder:
                     # the model is computed once and later plans scan it.
-                    # Pure projections of a source stay lazy: re-scanning
-                    # the source is cheaper than writing and re-reading it.
+                    # Models marked keep_lazy (projections of a source or of
+                    # a checkpoint, single aggregations over facts) stay
+                    # lazy: recomputing them from what is already cut is
+                    # cheaper than writing and re-reading a copy.
                     df = df.checkpoint(eager=True)
                     self._materialized.add(key)
                 self._models[key] = df

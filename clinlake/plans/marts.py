@@ -79,7 +79,7 @@ def insurance_period_ranges(ctx: Context) -> DataFrame:
     return ctx.ref(int_patient_insurance_periods).select(*PERIOD_COLUMNS)
 
 
-insurance_period_ranges.projection_only = True
+insurance_period_ranges.keep_lazy = True
 
 
 def _periods(ctx: Context) -> DataFrame:
@@ -203,6 +203,10 @@ def fct_clinical_events(ctx: Context) -> DataFrame:
         _loaded(ctx))
 
 
+# projections of a source or of a checkpointed model: never worth a checkpoint
+for _fn in (dim_date, dim_patient, dim_provider, dim_organization, dim_payer):
+    _fn.keep_lazy = True
+
 MART_MODELS = {
     "dim_patient": dim_patient,
     "dim_provider": dim_provider,

@@ -184,4 +184,4 @@ STAGING_MODELS = {
 }
 
 for _fn in STAGING_MODELS.values():
-    _fn.projection_only = True
+    _fn.keep_lazy = True
