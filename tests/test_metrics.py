@@ -42,3 +42,26 @@ def test_unknown_dimension_is_an_error(ctx):
         M.metric_query(ctx, ["total_encounters"], ["encounter__nope"])
     with pytest.raises(ValueError):
         M.metric_query(ctx, ["total_encounters"], ["metric_time__decade"])
+
+
+def test_global_multi_model_and_two_hop_filter(ctx):
+    both = M.metric_query(ctx, ["total_encounters", "total_discharges"], []).collect()
+    assert len(both) == 1 and set(both[0].asDict()) == {"total_encounters", "total_discharges"}
+    enc = M.metric_query(ctx, ["total_encounters"], []).first().total_encounters
+    dis = M.metric_query(ctx, ["total_discharges"], []).first().total_discharges
+    assert (both[0].total_encounters, both[0].total_discharges) == (enc, dis)
+    # filter on a dimension two hops away from readmissions, grouped by it as well
+    by_payer = {r.payer__payer_name: r.total_discharges
+                for r in M.metric_query(ctx, ["total_discharges"], ["payer__payer_name"]).collect()}
+    name = next(n for n in by_payer if n is not None)
+    only = M.metric_query(ctx, ["total_discharges"], [], where=f"payer__payer_name = '{name}'").first()
+    assert only.total_discharges == by_payer[name]
+
+
+def test_order_and_limit_are_a_top_k(ctx):
+    top = M.metric_query(ctx, ["total_healthcare_cost"], ["provider__provider_name"],
+                         order_by=["-total_healthcare_cost"], limit=3).collect()
+    allv = sorted((r.total_healthcare_cost for r in
+                   M.metric_query(ctx, ["total_healthcare_cost"], ["provider__provider_name"]).collect()
+                   if r.total_healthcare_cost is not None), reverse=True)
+    assert [r.total_healthcare_cost for r in top] == allv[:3]
