@@ -30,6 +30,12 @@ SCALE_CONF = {
 }
 
 
+# Core settings (fixed when the context starts, so only set by build_session):
+# checkpoint files are deleted once the checkpointed data is unreachable.
+CORE_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 # Cluster profile for ~100 TB inputs on ~1000 executors.  Shuffle partitions
 # start high (about 256 MB each for the largest shuffle) and AQE coalesces
 # them toward the advisory size instead of maximising parallelism; scans
@@ -77,6 +83,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
             if not submitted.contains(k):
                 b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
+    for k, v in CORE_CONF.items():
+        b = b.config(k, v)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         b = b.config("spark.driver.memory", "16g")
