@@ -87,3 +87,15 @@ def test_hot_entity_is_spread_over_partitions(spark):
     hot_parts = collections.Counter(r.part for r in rows.filter("_k = 'hot'").collect())
     assert len(hot_parts) >= 12                       # spread over most partitions
     assert max(hot_parts.values()) < 3000 / 4         # no partition holds a quarter of the hot rows
+
+
+def test_nulls_never_match_and_anchors_are_kept(spark):
+    h = dt.timedelta(hours=1)
+    anchors = [("a1", None, T0), ("a2", "p", None), ("a3", "p", T0), ("a3", "p", T0)]   # a copy of a3 too
+    cands = [("e1", None, T0 + h, "o"), ("e2", "p", None, "o"), ("e3", "p", T0 + 2 * h, "o")]
+    a = spark.createDataFrame(anchors, "aid string, pid string, t timestamp_ntz")
+    c = spark.createDataFrame(cands, "cid string, pid string, s timestamp_ntz, org string")
+    out = first_following(a, c, "pid", "t", "s", ["cid"], ["org"]).collect()
+    assert len(out) == 4   # every anchor row comes back, copies included
+    got = sorted((r.aid, r.match.cid if r.match else None) for r in out)
+    assert got == [("a1", None), ("a2", None), ("a3", "e3"), ("a3", "e3")]
