@@ -48,6 +48,7 @@ def test_sequence_number_equals_row_number_with_copies_and_a_hot_key(spark):
         y = rnd.choice([None, 1995, 1996, 1997, 1998])
         rows.append((p, y, rnd.choice(["a", "b", None]), rnd.randrange(3)))
     rows += [("hot", 1996, "a", 1)] * 700 + [("cold", None, None, 0)] * 5
+    rows += [(None, 1995, "a", 1)] * 3 + [(None, None, None, 0), (None, 1994, "b", 2)]   # NULL partition key
     df = spark.createDataFrame(rows, "p string, y int, s string, n int")
     order = ["y", "s", "n"]
     want = df.withColumn("v", F.row_number().over(
