@@ -129,6 +129,14 @@ def coordinate(c: str | Column) -> Column:
 
 address_latitude = coordinate
 address_longitude = coordinate
+# older names of the same cast
+latitude = coordinate
+longitude = coordinate
+
+
+def rename_id(c: str | Column, alias: str) -> Column:
+    """An id column under its entity-prefixed name (e.g. ``id`` -> ``patient_id``)."""
+    return _c(c).alias(alias)
 
 
 def loaded_at(c: str | Column, run_ts: Column) -> Column:

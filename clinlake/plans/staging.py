@@ -15,7 +15,7 @@ def _loaded(ctx: Context) -> F.Column:
 
 def stg_patients(ctx: Context) -> DataFrame:
     return ctx.source("patients").select(
-        F.col("id").alias("patient_id"),
+        C.rename_id("id", "patient_id"),
         C.parse_date("birthdate").alias("birth_date"),
         C.parse_date("deathdate").alias("death_date"),
         C.digits_only("ssn").alias("social_security_number"),
@@ -47,7 +47,7 @@ def stg_patients(ctx: Context) -> DataFrame:
 def stg_encounters(ctx: Context) -> DataFrame:
     cls = F.lower(F.col("encounterclass"))
     return ctx.source("encounters").select(
-        F.col("id").alias("encounter_id"),
+        C.rename_id("id", "encounter_id"),
         C.parse_timestamp("START").alias("started_at"),
         C.parse_timestamp("STOP").alias("ended_at"),
         "patient_id", "provider_id", "organization_id", "payer_id",
@@ -108,7 +108,7 @@ def stg_procedures(ctx: Context) -> DataFrame:
 
 def stg_providers(ctx: Context) -> DataFrame:
     return ctx.source("providers").select(
-        F.col("id").alias("provider_id"),
+        C.rename_id("id", "provider_id"),
         F.col("organization").alias("organization_id"),
         C.entity_name("name").alias("provider_name"),
         C.upper_trim("gender").alias("provider_gender"),
@@ -126,7 +126,7 @@ def stg_providers(ctx: Context) -> DataFrame:
 
 def stg_organizations(ctx: Context) -> DataFrame:
     return ctx.source("organizations").select(
-        F.col("id").alias("organization_id"),
+        C.rename_id("id", "organization_id"),
         C.entity_name("name").alias("organization_name"),
         C.address_line_1("address").alias("address_line_1"),
         C.address_city("city").alias("address_city"),
@@ -146,7 +146,7 @@ def stg_payers(ctx: Context) -> DataFrame:
               "uncovered_medications", "covered_procedures", "uncovered_procedures",
               "covered_immunizations", "uncovered_immunizations", "unique_customers"]
     return ctx.source("payers").select(
-        F.col("id").alias("payer_id"),
+        C.rename_id("id", "payer_id"),
         C.entity_name("name").alias("payer_name"),
         C.address_line_1("address").alias("headquarters_address_line_1"),
         C.address_city("city").alias("headquarters_address_city"),
