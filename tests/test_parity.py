@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from clinlake.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-ORACLES = E.oracle_sql()
+ORACLES = catalog.oracles()
 
 
 def _norm(v):
@@ -38,7 +39,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLES)
+    assert set(catalog.MODELS) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
