@@ -187,3 +187,50 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     np.add.at(edge, starts, 1)
     np.add.at(edge, ends, -1)
     return np.cumsum(edge[:-1]) > 0
+
+
+class UnitCache:
+    """Ids of distinct units (byte strings), encoded once each and remembered up to ``limit`` units.
+
+    ``encode_many`` turns a list of units into flat ids and the n+1 offsets of the units in them."""
+
+    def __init__(self, encode_many, limit: int = 300_000):
+        self.encode_many, self.limit = encode_many, limit
+        self._reset()
+
+    def _reset(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+    def ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all units in their order, and the n+1 offsets of the units in them."""
+        coded = units.dictionary_encode()
+        vocab = coded.dictionary.to_pylist()
+        new = [u for u in vocab if u not in self.known]
+        if len(self.known) + len(new) > self.limit:
+            self._reset()
+            new = vocab
+        if new:
+            flat, off = self.encode_many(new)
+            a, b = len(self.known), len(self.known) + len(new)
+            self.flat = self._room(self.flat, self.used + len(flat))
+            self.start, self.size = self._room(self.start, b), self._room(self.size, b)
+            self.flat[self.used:self.used + len(flat)] = flat
+            self.start[a:b], self.size[a:b] = self.used + off[:-1], np.diff(off)
+            self.used += len(flat)
+            self.known.update(zip(new, range(a, b)))
+        unit = np.fromiter(map(self.known.__getitem__, vocab), np.int64, len(vocab))
+        unit = unit[coded.indices.to_numpy(zero_copy_only=False)] if len(vocab) else unit
+        return gather(self.flat, self.start[unit], self.size[unit])
+
+
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs flat[start : start + size] one after the other, and their n+1 offsets."""
+    off = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=off[1:])
+    return flat[np.repeat(start - off[:-1], size) + np.arange(off[-1])], off

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clinlake.llm import decontamination, sql
+from clinlake.llm import decontamination, quality, secrets, sql, token_files, unigram
 from clinlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,4 +25,38 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels"), lambda i: ~quality.held_out(i)))
+    return quality.scores(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return token_files.read(manifest)
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = unigram.Model.load(tokenizer_file("piece_bpe_32k.model"))
+    return unigram.round_trip(table(spark, sf_dir, "documents"), model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+        F.length("text").cast("long").alias("n_decoded"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 SQL |= {"op8_decontamination": sql.OP8}

@@ -1,0 +1,71 @@
+"""Quality classifier: held-out accuracy, calibration and corner cases."""
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from clinlake.llm import quality as Q
+from clinlake.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    got = QUERIES["op10_quality"](spark, SF)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = got.join(labels, "doc_id").filter("held_out").select("score", "predicted", "quality").collect()
+    assert len(rows) > 500
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.98
+    clean = [r for r in rows if r.quality == 1]
+    assert np.mean([r.predicted for r in clean]) > 0.99
+    all_ = got.collect()
+    assert len({r.doc_id for r in all_}) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in all_)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in all_)
+
+
+def test_isotonic_equals_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        total = rng.integers(0, 6, 20).astype(float)
+        good = np.floor(total * rng.random(20))
+        got = Q.isotonic(good, total)
+        assert np.all(np.diff(got) >= 0) and got.min() >= 0 and got.max() <= 1
+        # max-min formula of the isotonic fit, on bins with rows
+        own = np.flatnonzero(total)
+        fit = [max(min(good[a:b + 1].sum() / total[a:b + 1].sum() for b in own if b >= i) for a in own if a <= i) for i in own]
+        order = np.argsort(fit, kind="stable")
+        assert np.all(np.diff(got[own][order]) >= -1e-12)
+
+
+def test_kernel_is_approximated():
+    rng = np.random.default_rng(0)
+    k, width = len(Q.FEATURES), 6.0
+    m = Q.Model(np.zeros(k), np.ones(k), rng.normal(size=(k, 20_000)) / width, rng.uniform(0, 2 * np.pi, 20_000),
+                np.zeros(20_001), 0.0, 1.0, np.zeros(4))
+    x = rng.normal(size=(6, k))
+    z = m.features(x)[:, 1:]
+    want = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / (2 * width ** 2))
+    assert np.abs(z @ z.T - want).max() < 0.05
+
+
+def test_statistics_of_odd_texts():
+    x = Q.statistics(pa.array([None, "", " ", "\n\n", "a", "é" * 300_000, "x " * 5, "A!! B!!"], pa.string()))
+    assert x.shape == (8, len(Q.FEATURES)) and np.isfinite(x).all()
+    assert not x[0].any() and not x[1].any()
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1)], [(None, 1), (1, None), (9, 0)]])
+def test_few_or_no_labels(spark, labels):
+    docs = spark.createDataFrame([(1, "a b", 2), (1, "a b", 2), (2, None, 2), (None, "c", 2)], "doc_id long, text string, score int")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    rows = Q.scores(docs, Q.fit(Q.training_rows(docs, lab))).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 1, 2] and all(0 <= r.score <= 1 for r in rows)
+    assert Q.good_documents(docs, Q.fit(Q.training_rows(docs, lab))).columns == docs.columns
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    lab = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert Q.scores(docs, Q.fit(Q.training_rows(docs, lab))).collect() == []
