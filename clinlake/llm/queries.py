@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.llm import decontamination, quality, secrets, sql, token_files, unigram
+from clinlake.llm import (decontamination, near_duplicates, private_data, quality, secrets, sql, substrings, token_files, topk,
+                          unigram, url_filter)
 from clinlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,4 +60,32 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("long").alias("n_decoded"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
-SQL |= {"op8_decontamination": sql.OP8}
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = substrings.whole_documents(table(spark, sf_dir, "documents"))
+    return substrings.remove_repeats(docs, texts=False).withColumnRenamed("kept", "kept_sha256")
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.digest(private_data.private_spans(table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.85)
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows.filter(F.col("vec_id").cast("long") % 50 == 0), rows, k=5)
+
+
+SQL |= {"op1_substring_dedup": sql.OP1, "op5_url_filter": sql.OP5, "op7_near_duplicates": sql.OP7,
+        "op8_decontamination": sql.OP8, "op9_top_k": sql.OP9}

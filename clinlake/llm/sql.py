@@ -85,3 +85,48 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+OP5 = r"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+rules(rule, h, q, v) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+judged AS (
+  SELECT p.*, (SELECT arg_max(rule, length(rule)) FROM rules WHERE (p.host = h OR suffix(p.host, '.' || h)) AND starts_with(p.path, q)) AS rule
+  FROM p),
+r AS (SELECT judged.*, v FROM judged LEFT JOIN rules USING (rule)),
+paths AS (
+  SELECT host, path, count(*) AS n, count(v) AS labelled, count(*) FILTER (v = 'block') AS blocked FROM r GROUP BY host, path),
+parts AS (
+  SELECT host, path, n, labelled, blocked, string_split(regexp_replace(path, '^/', ''), '/') AS a FROM paths),
+shaped AS (
+  SELECT *, list_transform(a, lambda x: regexp_replace(regexp_replace(x, '[0-9A-Za-z]*[0-9][0-9A-Za-z]*', '#', 'g'), '[A-Za-z]+', 'a', 'g')) AS sh FROM parts),
+segs AS (
+  SELECT host, path, n, labelled, blocked, i AS depth, a[i + 1] AS literal, array_to_string(sh[1:least(i, 8)], '/') AS above, sh[i + 1] AS shape
+  FROM (SELECT *, unnest(range(len(a))) AS i FROM shaped)),
+child AS (
+  SELECT host, depth, above, shape, literal, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked
+  FROM segs GROUP BY host, depth, above, shape, literal),
+node AS (
+  SELECT host, depth, above, shape, sum(n) AS nn, (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2) AS rate
+  FROM child GROUP BY host, depth, above, shape),
+kept AS (
+  SELECT host, depth, above, shape, literal, true AS keep FROM child JOIN node USING (host, depth, above, shape)
+  WHERE n >= 5 AND n >= 0.01::DOUBLE * nn AND labelled > 0
+    AND (blocked - labelled * rate) * (blocked - labelled * rate) > 3.84::DOUBLE * labelled * rate * (1 - rate)),
+ways AS (
+  SELECT host, path, any_value(segs.labelled) AS labelled, any_value(segs.blocked) AS blocked,
+         '/' || string_agg(CASE WHEN keep THEN literal ELSE '*' END, '/' ORDER BY depth) AS template
+  FROM segs LEFT JOIN kept USING (host, depth, above, shape, literal) GROUP BY host, path),
+base AS (SELECT (coalesce(sum(blocked), 0) + 1)::DOUBLE / (coalesce(sum(labelled), 0) + 2) AS g FROM paths),
+hosts AS (SELECT host, (sum(blocked) + 2 * any_value(g)) / (sum(labelled) + 2) AS prior FROM paths, base GROUP BY host),
+bad AS (
+  SELECT host, template, true AS bad
+  FROM (SELECT host, template, sum(labelled) AS l, sum(blocked) AS b FROM ways GROUP BY host, template) JOIN hosts USING (host)
+  WHERE l >= 3 AND (b + 4 * prior) / (l + 4) >= 0.8)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict, template
+FROM r JOIN ways USING (host, path) LEFT JOIN bad USING (host, template)
+"""
