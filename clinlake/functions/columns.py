@@ -19,7 +19,7 @@ YES_TEXT = ["1", "true", "TRUE", "Yes", "yes"]
 NO_TEXT = ["0", "false", "FALSE", "No", "no"]
 # Word delimiters of the warehouse's INITCAP: whitespace plus these characters
 # (the apostrophe is not one, so O'BRIEN becomes O'brien).
-TITLE_CASE_DELIMITERS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>`"
+TITLE_CASE_DELIMITERS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"
 
 
 def _c(c: str | Column) -> Column:
@@ -37,7 +37,8 @@ def _java_class(chars: str) -> str:
     return "".join(out)
 
 
-TITLE_TOKEN_REGEX = "([^\\s" + _java_class(TITLE_CASE_DELIMITERS) + "]+|.)"
+# a word, or any one delimiter (line breaks too)
+TITLE_TOKEN_REGEX = "([^ \\t\\n\\x0B\\f\\r" + _java_class(TITLE_CASE_DELIMITERS) + "]+|(?s:.))"
 
 
 def reason_code(c: str | Column = "reasoncode", default: str = REASON_CODE_DEFAULT) -> Column:
@@ -83,14 +84,36 @@ def yes_no_from_boolean(expr: Column) -> Column:
     return F.when(expr, F.lit(YES)).otherwise(F.lit(NO))
 
 
+# Texts that the source reads as a date: ISO, optionally with a time of day
+# and zone, and its two other automatic formats.  Anything else is NULL; a
+# bare cast would also take "2020", "2020-5" or a date followed by junk.
+_TIME = r"[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2})?"
+ISO_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(" + _TIME + ")?$"
+US_DATE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
+NAMED_MONTH = r"^([0-9]{1,2})-([A-Za-z]{3})-([0-9]{4})$"
+MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+
+
+def _iso_text(c: str | Column) -> Column:
+    """The trimmed text in ISO form, or NULL where it is in no accepted format."""
+    t = F.trim(_c(c).cast("string"))
+    part = lambda pattern, i: F.regexp_extract(t, pattern, i)
+    at = F.instr(F.lit(MONTHS), F.upper(part(NAMED_MONTH, 2)))
+    month = F.when(at % 3 == 1, ((at + 2) / 3).cast("int").cast("string"))
+    return (F.when(t.rlike(ISO_TEXT), t)
+            .when(t.rlike(US_DATE), F.concat_ws("-", part(US_DATE, 3), part(US_DATE, 1), part(US_DATE, 2)))
+            .when(t.rlike(NAMED_MONTH) & month.isNotNull(),
+                  F.concat_ws("-", part(NAMED_MONTH, 3), month, part(NAMED_MONTH, 1))))
+
+
 def parse_date(c: str | Column) -> Column:
-    """Safe text -> date; unparseable values become NULL."""
-    return _c(c).cast("string").try_cast("date")
+    """Safe text -> date; text in no accepted format becomes NULL."""
+    return _iso_text(c).try_cast("date")
 
 
 def parse_timestamp(c: str | Column) -> Column:
     """Safe date / ISO timestamp text -> timestamp_ntz (zone suffix dropped)."""
-    return _c(c).cast("string").try_cast("timestamp_ntz")
+    return _iso_text(c).try_cast("timestamp_ntz")
 
 
 def digits_only(c: str | Column) -> Column:
@@ -99,7 +122,8 @@ def digits_only(c: str | Column) -> Column:
 
 
 def phone_number(c: str | Column = "phone") -> Column:
-    return digits_only(c).try_cast("bigint")
+    """All digits as a whole number of up to 38 digits (longer ones become NULL, as in the source)."""
+    return digits_only(c).try_cast("decimal(38,0)")
 
 
 def state_code(c: str | Column = "state") -> Column:

@@ -46,11 +46,9 @@ def fiscal_year(d: str | Column) -> Column:
 
 
 def fiscal_quarter(d: str | Column) -> Column:
-    m = F.month(_c(d))
-    return (F.when(m.isin(10, 11, 12), F.lit(1))
-            .when(m.isin(1, 2, 3), F.lit(2))
-            .when(m.isin(4, 5, 6), F.lit(3))
-            .otherwise(F.lit(4)))
+    """1 for the first three months from the fiscal start, and so on."""
+    months = F.pmod(F.month(_c(d)) - F.lit(FISCAL_START_MONTH), F.lit(12))
+    return (F.floor(months / 3) + 1).cast("int")
 
 
 CALENDAR_ATTRIBUTES = {
@@ -98,13 +96,13 @@ def calendar_lookup(d: str | Column, name: str) -> Column:
 
 
 def round2(c: Column, scale: int = 2) -> Column:
-    """Half-up rounding of a double, done on its decimal text.
+    """Half-up rounding of a double, done once on its decimal text.
 
-    Rounding a double directly is engine dependent at exact halves
-    (2.005 is 2.00499... in binary); going through decimal(38,6) first
-    rounds the decimal value the user sees.
+    Rounding a double directly is engine dependent at exact halves (2.005 is
+    2.00499... in binary); the decimal rounds the value the user sees.  A
+    double too large for the decimal has no fraction to round, and NaN stays.
     """
-    return F.round(c.cast("decimal(38,6)"), scale).cast("double")
+    return F.coalesce(F.round(c.try_cast("decimal(38,18)"), scale).cast("double"), c)
 
 
 def money_sum(c: str | Column) -> Column:
@@ -112,8 +110,13 @@ def money_sum(c: str | Column) -> Column:
 
     Summing doubles depends on the order rows arrive in, which differs
     between runs and partitionings; summing fixed-point decimals does not.
+    Money has at most ten decimals here and values below 10^18 (the range of
+    decimal(28,10)); a NaN or larger value makes the sum fall back to doubles.
     """
-    return F.sum(_c(c).cast("decimal(28,6)")).cast("double")
+    c = _c(c)
+    exact = c.try_cast("decimal(28,10)")
+    lost = F.count(F.when(c.isNotNull() & exact.isNull(), F.lit(1)))
+    return F.when(lost == 0, F.sum(exact).cast("double")).otherwise(F.sum(c))
 
 
 def money_avg(c: str | Column) -> Column:

@@ -38,9 +38,12 @@ def first_following(anchors: DataFrame, candidates: DataFrame, key: str, anchor_
                     candidate_time: str, tie_break: Sequence[str], payload: Sequence[str],
                     bucket: str = "HOUR", match: str = "match") -> DataFrame:
     """Anchors with a struct column ``match`` = (time, *tie_break, *payload) of
-    the first candidate strictly after the anchor time, or NULL."""
-    cand_struct = F.struct(F.col(candidate_time).alias("time"),
-                           *[F.col(c) for c in tie_break], *[F.col(c) for c in payload])
+    the first candidate strictly after the anchor time, or NULL.
+
+    At one instant the tie-break values ascend with NULLs last, as in an
+    ascending ORDER BY of the source: each is led by its null flag in the struct."""
+    ties = [x for c in tie_break for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    cand_struct = F.struct(F.col(candidate_time).alias("time"), *ties, *[F.col(c) for c in payload])
     cand = (candidates.filter(F.col(key).isNotNull() & F.col(candidate_time).isNotNull())
             .select(F.col(key).alias("_k"), F.col(candidate_time).alias("_t"), cand_struct.alias("_c"),
                     F.lit(False).alias("_anchor")))

@@ -71,8 +71,9 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
        the remaining keys with a running sum of multiplicities.
     3. Each bucket's offset is the running total over the partition's
        buckets (a window over distinct leading-key values only).
-    4. Multiplicities expand back to rows.  Large ones are first cut into
-       chunk descriptors that are shuffled, so no task expands a huge group.
+    4. Multiplicities expand back to rows: every one is cut into descriptors
+       of at most ``chunk`` copies, which are dealt out before they expand,
+       so no task expands a huge group.
     """
     cols = df.columns
     missing = set(cols) - set(partition_by) - set(order_by)
@@ -96,14 +97,10 @@ def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
         cond = e if cond is None else cond & e
     numbered = (rows.join(offsets, cond, "inner")
                 .select(*cols, "_m", (F.col("_offset") + F.col("_before") + 1).alias("_first")))
-    small = (numbered.filter(F.col("_m") <= chunk)
-             .select(*cols, F.explode(F.sequence("_first", F.col("_first") + F.col("_m") - 1)).alias(name)))
-    big = (numbered.filter(F.col("_m") > chunk)
-           .select(*cols, "_first", "_m",
-                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_m - 1) div {int(chunk)}"))).alias("_c"))
-           .repartition("_first", "_c")
-           .select(*cols, F.explode(F.sequence(F.col("_first") + F.col("_c") * chunk,
-                                               F.least(F.col("_first") + F.col("_m") - 1,
-                                                       F.col("_first") + (F.col("_c") + 1) * chunk - 1)))
-                   .alias(name)))
-    return small.unionByName(big).withColumn(name, F.col(name).cast("int"))
+    pieces = numbered.select(*cols, "_first", "_m", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_m - 1) div {int(chunk)}"))).alias("_c"))
+    start = F.col("_first") + F.col("_c") * chunk
+    end = F.least(F.col("_first") + F.col("_m") - 1, start + (chunk - 1))
+    return (pieces.repartition("_first", "_c", *partition_by)
+            .select(*cols, F.explode(F.sequence(start, end)).alias(name))
+            .withColumn(name, F.col(name).cast("int")))

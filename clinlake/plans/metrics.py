@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinlake.context import Context
+from clinlake.functions.dates import money_sum
 from clinlake.plans.marts import dim_organization, dim_patient, dim_payer, dim_provider, fct_encounters, fct_readmissions
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -288,8 +289,7 @@ def _agg(m: Measure, df: DataFrame) -> Column:
     if m.agg == "count_distinct":
         return F.countDistinct(e)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # fixed-point accumulation: totals independent of row order
-        total = F.sum(e.cast("decimal(28,6)")).cast("double")
+        total = money_sum(e)  # fixed-point: independent of row order
         return total if m.agg == "sum" else total / F.nullif(F.count(e), F.lit(0))
     return F.sum(e) if m.agg == "sum" else F.avg(e)
 

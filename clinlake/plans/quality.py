@@ -620,11 +620,11 @@ STAGING_CONTRACTS = {
                      "provider_utilization number, loaded_at timestamp_ntz",
     "stg_organizations": "organization_id varchar, organization_name varchar, address_line_1 varchar, "
                          "address_city varchar, address_state varchar, address_postal_code varchar, "
-                         "address_latitude float, address_longitude float, organization_phone_number number, "
+                         "address_latitude float, address_longitude float, organization_phone_number decimal, "
                          "organization_revenue float, organization_utilization number, loaded_at timestamp_ntz",
     "stg_payers": "payer_id varchar, payer_name varchar, headquarters_address_line_1 varchar, "
                   "headquarters_address_city varchar, headquarters_address_state varchar, "
-                  "headquarters_address_postal_code varchar, payer_phone_number number, amount_covered float, "
+                  "headquarters_address_postal_code varchar, payer_phone_number decimal, amount_covered float, "
                   "amount_uncovered float, payer_revenue float, covered_encounters number, uncovered_encounters number, "
                   "covered_medications number, uncovered_medications number, covered_procedures number, "
                   "uncovered_procedures number, covered_immunizations number, uncovered_immunizations number, "
@@ -633,7 +633,7 @@ STAGING_CONTRACTS = {
                              "payer_id varchar, coverage_ownership_type varchar, loaded_at timestamp_ntz",
 }
 # warehouse type -> Spark type
-CONTRACT_TYPES = {"varchar": "string", "float": "double", "number": "bigint", "date": "date",
+CONTRACT_TYPES = {"varchar": "string", "float": "double", "number": "bigint", "decimal": "decimal(38,0)", "date": "date",
                   "timestamp_ntz": "timestamp_ntz"}
 
 

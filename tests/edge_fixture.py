@@ -45,6 +45,12 @@ def raw_rows() -> dict[str, list[dict]]:
     patients += [_patient("C1", "1980-02-02", first="cost", last="fifty"),
                  _patient("C2", "1980-02-02", first="cost", last="hundred")]
 
+    # texts that a lax parser or a greedy cleaner would get wrong
+    patients += [_patient("T1", "2020-01-01 junk", first="12 main st\napt 4", last="tab\tand\rreturn"),
+                 _patient("T2", "01/02/2020", first="a`b"), _patient("T3", "2-Jan-2020"), _patient("T4", "2020"),
+                 _patient("T5", "2020-5"), _patient("T6", "2020-01-01Tjunk"), _patient("T7", "2020-01-02T03:04:05Z"),
+                 _patient("T8", "2-Foo-2020"), _patient("T9", "13/13/2020")]
+
     transitions = [
         dict(patient="P1", start_year=1995, end_year=1997, payer="Y1", ownership="self"),
         dict(patient="P1", start_year=1998, end_year=1999, payer="Y2", ownership="GUARDIAN"),
@@ -66,7 +72,7 @@ def raw_rows() -> dict[str, list[dict]]:
              covered_procedures=3, uncovered_procedures=0, covered_immunizations=2, uncovered_immunizations=0,
              unique_customers=7, qols_avg=0.8, member_months=120),
         dict(id="Y2", name="beta care", address="2 elm st", city="albany", state_headquartered="NY", zip="1220",
-             phone="n/a", amount_covered=-5.0, amount_uncovered=0.0, revenue=100.0),
+             phone="1234 5678 9012 3456 7890", amount_covered=-5.0, amount_uncovered=0.0, revenue=100.0),
     ]
     organizations = [
         dict(id="O1", name="general hospital", address="10 hospital rd", city="boston", state="ma", zip="123",

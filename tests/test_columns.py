@@ -34,6 +34,19 @@ def test_safe_parsing(spark):
         [None, None, dt.date(2001, 2, 3)]
     got = one(spark, [("2010-01-23T17:45:28Z",), ("2010-01-23",), ("x",)], "x string", C.parse_timestamp("x"))
     assert got == [dt.datetime(2010, 1, 23, 17, 45, 28), dt.datetime(2010, 1, 23), None]
+    bad = ["2020-01-01 junk", "2020-01-01Tjunk", "2020", "2020-5", "13/13/2020", "2-Foo-2020", "2020-02-30"]
+    assert one(spark, [(x,) for x in bad], "x string", C.parse_date("x")) == [None] * len(bad)
+    assert one(spark, [(x,) for x in bad], "x string", C.parse_timestamp("x")) == [None] * len(bad)
+    good = ["2020-1-2", " 2020-01-02 ", "01/02/2020", "1/2/2020", "2-JAN-2020", "02-jan-2020", "2020-01-02T00:00:00+05:00"]
+    assert one(spark, [(x,) for x in good], "x string", C.parse_date("x")) == [dt.date(2020, 1, 2)] * len(good)
+
+
+def test_cleaning_keeps_every_character(spark):
+    texts = ["12 main st\napt 4", "a\r\nb", "a\tb", "a\x0bb", "a`b", "\u00e9a-\u00e9b"]
+    assert one(spark, [(x,) for x in texts], "x string", C.title_case("x")) == [
+        "12 Main St\nApt 4", "A\r\nB", "A\tB", "A\x0bB", "A`b", "\u00c9a-\u00c9b"]
+    assert one(spark, [("1234 5678 9012 3456 7890",), ("9" * 38,), ("9" * 39,)], "x string", C.phone_number("x")) == [
+        12345678901234567890, int("9" * 38), None]
 
 
 def test_yes_no(spark):
@@ -65,3 +78,12 @@ def test_key_text_of_timestamps_has_millis(spark):
 def test_date_key_and_half_up_rounding(spark):
     assert one(spark, [(dt.date(2001, 2, 3),), (None,)], "d date", date_key("d")) == [20010203, None]
     assert one(spark, [(2.005,), (1.004999,), (-2.005,)], "x double", round2(F.col("x"))) == [2.01, 1.0, -2.01]
+    assert one(spark, [(2.0049996,), (1e30,), (None,)], "x double", round2(F.col("x"))) == [2.0, 1e30, None]
+
+
+def test_money_sums(spark):
+    from clinlake.functions.dates import money_sum
+
+    assert one(spark, [(0.1,)] * 10 + [(1e-9,)], "x double", money_sum("x")) == [1.000000001]
+    nan, = one(spark, [(1.0,), (float("nan"),)], "x double", money_sum("x"))
+    assert nan != nan

@@ -74,6 +74,12 @@ def test_cleaning_edges(spark, fx):
     assert p["P3"].loaded_at == dt.datetime(2002, 1, 1)
     o = by(staging.stg_organizations(ctx_of(spark, fx[0])), "organization_id")
     assert (o["O1"].organization_phone_number, o["O2"].organization_phone_number) == (5551234567, None)
+    y = by(staging.stg_payers(ctx_of(spark, fx[0])), "payer_id")
+    assert y["Y2"].payer_phone_number == 12345678901234567890
+    assert (p["T1"].first_name, p["T1"].last_name) == ("12 Main St\nApt 4", "Tab\tAnd\rReturn")
+    assert p["T2"].first_name == "A`b"
+    day = dt.date(2020, 1, 2)
+    assert [p[f"T{i}"].birth_date for i in range(1, 10)] == [None, day, day, None, None, None, day, None, None]
 
 
 def test_encounter_edges(spark, fx):

@@ -99,3 +99,11 @@ def test_nulls_never_match_and_anchors_are_kept(spark):
     assert len(out) == 4   # every anchor row comes back, copies included
     got = sorted((r.aid, r.match.cid if r.match else None) for r in out)
     assert got == [("a1", None), ("a2", None), ("a3", "e3"), ("a3", "e3")]
+
+
+def test_null_tie_break_comes_last(spark):
+    a = spark.createDataFrame([("P", dt.datetime(2001, 1, 1))], "k string, t timestamp_ntz")
+    c = spark.createDataFrame([("P", dt.datetime(2001, 1, 2), None, "x"), ("P", dt.datetime(2001, 1, 2), "E9", "y")],
+                              "k string, s timestamp_ntz, e string, o string")
+    row = first_following(a, c, "k", "t", "s", ["e"], ["o"]).first()
+    assert (row.match.e, row.match.o) == ("E9", "y")
