@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,8 +24,9 @@ DEFAULT_AS_OF = dt.date(2001, 12, 31)
 DEFAULT_RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
-_BOUND: dict = {}
-_SHARED: dict = {}
+def _kept(spark: SparkSession) -> dict:
+    """What is defined once per session; it goes with the session object."""
+    return spark.__dict__.setdefault("_clinlake", {})
 
 
 @dataclass
@@ -38,6 +40,8 @@ class Context:
     _materialized: set = field(default_factory=set, repr=False)
     _locks: dict = field(default_factory=dict, repr=False)
     _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    _path: list = field(default_factory=list, repr=False)
+    _warehouse: list = field(default_factory=list, repr=False)
 
     @classmethod
     def from_bench(cls, spark: SparkSession, sf_dir: str, **kw) -> Context:
@@ -49,10 +53,10 @@ class Context:
         """
         from clinlake.sources.binding import bind_raw
 
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-        if key not in _BOUND:
-            _BOUND[key] = bind_raw(spark, sf_dir)
-        return cls(spark, dict(_BOUND[key]), **kw)
+        kept, key = _kept(spark), ("raw", spark.sparkContext.applicationId, sf_dir)
+        if key not in kept:
+            kept[key] = bind_raw(spark, sf_dir)
+        return cls(spark, dict(kept[key]), **kw)
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, **kw) -> Context:
@@ -63,10 +67,10 @@ class Context:
         files).  Materialized copies (:meth:`materialized`) are private to
         the query that makes them.
         """
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
-        if key not in _SHARED:
-            _SHARED[key] = cls.from_bench(spark, sf_dir, **kw)
-        return _SHARED[key]
+        kept, key = _kept(spark), ("context", spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+        if key not in kept:
+            kept[key] = cls.from_bench(spark, sf_dir, **kw)
+        return kept[key]
 
     @classmethod
     def from_raw(cls, spark: SparkSession, root: str, fmt: str = "parquet", **kw) -> Context:
@@ -92,17 +96,28 @@ class Context:
             if key not in self._models:
                 df = model(self)
                 if self.checkpoint_models and not getattr(model, "keep_lazy", False):
-                    # reliable checkpoint into the shared checkpoint folder:
-                    # the model is computed once and later plans scan it.
-                    # Models marked keep_lazy (projections of a source or of
-                    # a checkpoint, single aggregations over facts) stay
-                    # lazy: recomputing them from what is already cut is
-                    # cheaper than writing and re-reading a copy.
-                    df = df.checkpoint(eager=True)
+                    # a Parquet table in the shared checkpoint folder: the
+                    # model is computed once, and later plans scan only the
+                    # columns they use.  Models marked keep_lazy (projections
+                    # of a source or of such a table, single aggregations
+                    # over facts) stay lazy: recomputing them from what is
+                    # already cut is cheaper than writing and re-reading a copy.
+                    path = f"{self._folder()}/{key}"
+                    df.write.parquet(path)
+                    df = self.spark.read.schema(df.schema).parquet(path)
                     self._materialized.add(key)
                 self._models[key] = df
         return self._models[key]
 
+    def _folder(self) -> str:
+        """This context's folder of materialized models."""
+        from clinlake.session import ensure_checkpoint_dir
+
+        with self._guard:
+            if not self._path:
+                self._path.append(f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/models-{uuid.uuid4().hex}")
+            return self._path[0]
+
     def build_levels(self, levels: Sequence[Sequence[Callable[[Context], DataFrame]]], threads: int = 4) -> None:
         """Build models level by level; models of one level (independent of
         each other) are submitted as concurrent Spark jobs from ``threads``
@@ -112,19 +127,16 @@ class Context:
                 list(pool.map(self.ref, level))
 
     def materialized(self) -> Context:
-        """A context whose models are checkpointed when first used.
+        """A context whose models are written to the shared folder when first used.
 
         Used by consumers that read many models at once (the quality
-        suite): each model is computed once and every test scans its
-        checkpoint, instead of one plan re-deriving the whole lineage per
-        test.  Models already materialized (checkpointed, or read back from
-        written tables) are kept; lazy ones are rebuilt and checkpointed.
+        suite): each model is computed once and every test scans the columns
+        it needs of its table, instead of one plan re-deriving the whole
+        lineage per test.  Models already materialized (or read back from
+        written tables) are kept; lazy ones are rebuilt and written.
         """
         if self.checkpoint_models:
             return self
-        from clinlake.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(self.spark)
         kept = {k: v for k, v in self._models.items() if k in self._materialized}
         return Context(self.spark, self.raw, self.as_of, self.run_ts, True, kept, set(kept))
 
@@ -135,12 +147,15 @@ class Context:
 
     def materialize_warehouse(self, threads: int = 4) -> Context:
         """Materialized context with every intermediate, mart and report model
-        checkpointed, independent models concurrently."""
+        written, independent models concurrently.  It is made once per context,
+        so the suite's queries of a session share the tables."""
         from clinlake.plans.catalog import MODEL_LEVELS
 
-        ctx = self.materialized()
-        ctx.build_levels(MODEL_LEVELS, threads)
-        return ctx
+        if not self._warehouse:
+            ctx = self.materialized()
+            ctx.build_levels(MODEL_LEVELS, threads)
+            self._warehouse.append(ctx)
+        return self._warehouse[0]
 
     def source(self, name: str) -> DataFrame:
         return self.raw[name]

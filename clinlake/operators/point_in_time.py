@@ -39,3 +39,22 @@ def point_in_time_join(events: DataFrame, periods: DataFrame, key: str, event_da
     joined = ev.join(p, cond, "left").drop(d, "_pit_ey", "_pit_y")
     order = [(prefix + c, *rest) for c, *rest in latest]
     return top1(joined, list(event_id), order)
+
+
+def join_period_of_year(events: DataFrame, periods: DataFrame, key: str, event_date: Column, valid_from: str,
+                        valid_to: str, latest: Sequence[tuple], prefix: str = "pit_") -> DataFrame:
+    """Point-in-time join for periods of whole calendar years (Jan 1 .. Dec 31).
+
+    All dates of a year then have the same valid periods, so the winning one
+    is picked per (entity, year) on the small period side, by a partially
+    aggregated top-1, and the events meet it in a plain equi-join with at most
+    one match: they are not ranked and keep their rows.  An entity with very
+    many events is spread over its years; what stays hot is a skewed equi-join
+    that adaptive execution splits.
+    """
+    year = "_pit_y"
+    p = periods.select([F.col(c).alias(prefix + c) for c in periods.columns]).withColumn(
+        year, F.explode(F.sequence(F.year(prefix + valid_from), F.year(prefix + valid_to))))
+    winner = top1(p, [prefix + key, year], [(prefix + c, *rest) for c, *rest in latest])
+    ev = events.withColumn("_pit_ey", F.year(event_date))
+    return ev.join(winner, (ev[key] == winner[prefix + key]) & (ev["_pit_ey"] == winner[year]), "left").drop("_pit_ey", year)

@@ -51,10 +51,12 @@ def top1(df: DataFrame, by: Sequence[str], order: Sequence[Order]) -> DataFrame:
     Remaining ties are broken by the row's own values, so the choice is
     deterministic.  Output has the input's columns.
     """
-    cols = df.columns
-    packed = F.struct(*sort_fields(df, order), F.struct(*[F.col(c) for c in cols]).alias("_row"))
-    return (df.groupBy(*by).agg(F.min(packed).alias("_top"))
-            .select(*[F.col(f"_top._row.{c}").alias(c) for c in cols]))
+    cols, by = df.columns, list(by)
+    rest = [c for c in cols if c not in by]
+    packed = F.struct(*sort_fields(df, order), F.struct(*[F.col(c) for c in rest or by]).alias("_row"))
+    top = df.groupBy(*by).agg(F.min(packed).alias("_top"))
+    # group keys come from the grouping itself, so a filter on one of them goes below the aggregation
+    return top.select(*[F.col(c) if c in by else F.col(f"_top._row.{c}").alias(c) for c in cols])
 
 
 def sequence_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str,

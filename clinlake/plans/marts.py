@@ -10,7 +10,7 @@ from clinlake.context import Context
 from clinlake.functions.columns import yes_no_from_boolean
 from clinlake.functions.dates import CALENDAR_END, CALENDAR_GENERATED_DAYS, CALENDAR_START, calendar_attributes
 from clinlake.functions.keys import date_key, surrogate_key, ts_key_text
-from clinlake.operators.point_in_time import point_in_time_join
+from clinlake.operators.point_in_time import join_period_of_year
 from clinlake.operators.ranking import top1
 from clinlake.plans.intermediate import int_encounter_enriched, int_patient_insurance_periods, int_readmission_flags
 from clinlake.plans.staging import (stg_conditions, stg_medications, stg_organizations, stg_payers, stg_procedures,
@@ -86,6 +86,16 @@ def _periods(ctx: Context) -> DataFrame:
     return ctx.ref(insurance_period_ranges)
 
 
+# a repeated event id keeps the row of the latest period (joined columns)
+MATCHED_PERIOD = [("pit_" + c, *rest) for c, *rest in LATEST_PERIOD]
+
+
+def _with_period(ctx: Context, events: DataFrame, event_date: F.Column) -> DataFrame:
+    """Events with the latest insurance period valid on their date (periods are whole years)."""
+    return join_period_of_year(events, _periods(ctx), key="patient_id", event_date=event_date,
+                               valid_from="effective_from", valid_to="effective_to", latest=LATEST_PERIOD)
+
+
 def _patient_key() -> F.Column:
     # unmatched events hash two empty parts: md5('|'), never NULL
     return surrogate_key(F.col("pit_patient_id"), F.col("pit_effective_from")).alias("patient_key")
@@ -99,9 +109,7 @@ def _non_negative(c: str) -> F.Column:
 def fct_encounters(ctx: Context) -> DataFrame:
     """One row per encounter, keyed to the insurance period valid on its start date."""
     e = ctx.ref(int_encounter_enriched).filter(F.col("encounter_id").isNotNull())
-    pit = point_in_time_join(e, _periods(ctx), key="patient_id", event_date=F.to_date("encounter_start_time"),
-                             valid_from="effective_from", valid_to="effective_to",
-                             event_id=["encounter_id"], latest=LATEST_PERIOD)
+    pit = top1(_with_period(ctx, e, F.to_date("encounter_start_time")), ["encounter_id"], MATCHED_PERIOD)
     d = F.col("duration_hours")
     return pit.select(
         surrogate_key("encounter_id").alias("encounter_key"),
@@ -122,9 +130,7 @@ def fct_encounters(ctx: Context) -> DataFrame:
 def fct_readmissions(ctx: Context) -> DataFrame:
     """One row per inpatient discharge, keyed to the period valid on the discharge date."""
     r = ctx.ref(int_readmission_flags).filter(F.col("index_encounter_id").isNotNull())
-    pit = point_in_time_join(r, _periods(ctx), key="patient_id", event_date=F.to_date("discharge_date"),
-                             valid_from="effective_from", valid_to="effective_to",
-                             event_id=["index_encounter_id"], latest=LATEST_PERIOD)
+    pit = top1(_with_period(ctx, r, F.to_date("discharge_date")), ["index_encounter_id"], MATCHED_PERIOD)
     return pit.select(
         surrogate_key("index_encounter_id", "readmit_encounter_id").alias("readmission_key"),
         "index_encounter_id", "readmit_encounter_id",
@@ -188,12 +194,11 @@ def fct_clinical_events(ctx: Context) -> DataFrame:
     Copies of an event share patient and start date, hence the same valid
     periods, so they are collapsed first (a partially aggregated top-1:
     copies never gather in one task), and the point-in-time join then runs
-    on distinct events only.
+    on distinct events only, whose keys stay unique.
     """
-    events = top1(ctx.ref(clinical_events_union), ["clinical_event_key"], DUPLICATE_TIE_BREAK)
-    pit = point_in_time_join(events, _periods(ctx), key="patient_id", event_date=F.col("event_start_date"),
-                             valid_from="effective_from", valid_to="effective_to",
-                             event_id=["clinical_event_key"], latest=LATEST_PERIOD)
+    # event_type is part of the hashed key; as a group key of its own, a filter on it reaches the sources
+    events = top1(ctx.ref(clinical_events_union), ["clinical_event_key", "event_type"], DUPLICATE_TIE_BREAK)
+    pit = _with_period(ctx, events, F.col("event_start_date"))
     return pit.select(
         "clinical_event_key", _patient_key(),
         surrogate_key("encounter_id").alias("encounter_key"),

@@ -276,24 +276,34 @@ def _violation(t: ColumnTest) -> Column:
     return bad if t.where is None else (F.expr(t.where) & bad)
 
 
-def _fused(df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
-    """All row-level tests of one model in one aggregation (one scan)."""
-    aggs = []
-    for i, t in enumerate(tests):
-        if t.kind == "accepted_values":
-            ok = F.col(t.column).isin(list(t.values))
-            cond = F.col(t.column).isNotNull() & ~ok
-            if t.where:
-                cond = F.expr(t.where) & cond
-            aggs.append(F.count_distinct(F.when(cond, F.col(t.column))).alias(f"t{i}"))
-        else:
-            aggs.append(F.sum(F.when(_violation(t), F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(f"t{i}"))
-    row = df.agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(*_meta(t), F.col(f"t{i}").cast("bigint").alias("failures"))
-                               for i, t in enumerate(tests)]))
+def _counted(row: DataFrame, tests: list[tuple[int, ColumnTest]]) -> DataFrame:
+    """One result row per test from the single row of its counts."""
+    rows = F.explode(F.array(*[F.struct(*_meta(t), F.col(f"t{i}").cast("bigint").alias("failures")) for i, t in tests]))
     return row.select(rows.alias("r")).select("r.*")
 
 
+def _fused(df: DataFrame, tests: list[ColumnTest]) -> list[DataFrame]:
+    """All row-level tests of one model: plain conditional sums in one scan, and, in a second one, the distinct
+    (test, value) pairs of the violating rows only for ``accepted_values``."""
+    numbered = list(enumerate(tests))
+    sums = [(i, t) for i, t in numbered if t.kind != "accepted_values"]
+    accepted = [(i, t) for i, t in numbered if t.kind == "accepted_values"]
+    out = []
+    if sums:
+        out.append(_counted(df.agg(*[F.sum(F.when(_violation(t), F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(f"t{i}")
+                                     for i, t in sums]), sums))
+    if accepted:
+        def violating(t: ColumnTest) -> Column:
+            bad = F.col(t.column).isNotNull() & ~F.col(t.column).isin(list(t.values))
+            return F.expr(t.where) & bad if t.where else bad
+
+        pairs = F.array(*[F.struct(F.lit(i).alias("t"), F.when(violating(t), F.col(t.column).cast("string")).alias("v"))
+                          for i, t in accepted])
+        found = df.select(F.explode(F.filter(pairs, lambda p: p["v"].isNotNull())).alias("p")).select("p.t", "p.v").distinct()
+        out.append(_counted(found.agg(*[F.count(F.when(F.col("t") == i, F.lit(1))).alias(f"t{i}") for i, _ in accepted]), accepted))
+    return out
+
+
 def _unique(df: DataFrame, t: ColumnTest) -> DataFrame:
     base = df if t.where is None else df.filter(F.expr(t.where))
     dup = (base.filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
@@ -324,7 +334,7 @@ def column_test_results(ctx: Context, tests: list[ColumnTest] | None = None) ->
         df = model_frame(ctx, model)
         fused = [t for t in ts if t.kind in ("not_null", "accepted_values", "expression_is_true")]
         if fused:
-            parts.append(_fused(df, fused))
+            parts.extend(_fused(df, fused))
         for t in ts:
             if t.kind == "unique":
                 parts.append(_unique(df, t))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clinlake.context import Context
 from clinlake.functions.dates import calendar_lookup, fiscal_year, money_avg, money_sum, round2, years_crossed
-from clinlake.functions.keys import date_from_key, date_key, surrogate_key
+from clinlake.functions.keys import ORPHAN_PAIR_KEY, date_from_key, date_key, surrogate_key
 from clinlake.operators.ranking import top1
 from clinlake.plans.intermediate import int_encounter_enriched, int_readmission_flags
 from clinlake.plans.marts import (LATEST_PERIOD, dim_organization, dim_patient, dim_payer, dim_provider,
@@ -107,7 +107,8 @@ def rpt_readmission_rate_monthly(ctx: Context) -> DataFrame:
 def rpt_cost_of_care_annual(ctx: Context) -> DataFrame:
     """Cost of care per patient x fiscal year (inner join: encounters without a
     valid insurance period are not reported)."""
-    fe = ctx.ref(fct_encounters).select(
+    # encounters without a period share one key; they cannot meet a patient, so they are not shuffled to one task
+    fe = ctx.ref(fct_encounters).filter(F.col("patient_key") != ORPHAN_PAIR_KEY).select(
         "encounter_id", "patient_key", "encounter_date_key", "total_claim_cost", "encounter_payer_coverage",
         "patient_out_of_pocket", "is_emergency_visit", "is_inpatient")
     dp = ctx.ref(dim_patient).select("patient_key", "patient_id", "first_name", "last_name", "patient_gender", "race")
@@ -152,22 +153,20 @@ def rpt_provider_performance(ctx: Context) -> DataFrame:
                                        "organization_id")
     dorg = ctx.ref(dim_organization).select("organization_id", "organization_name", "address_city", "address_state")
     pe = fe.join(dpr, "provider_key", "inner").join(dorg, "organization_id", "left")
-    fr = ctx.ref(fct_readmissions).select("index_encounter_id", "is_30_day_readmission")
-    pr = (pe.select(F.col("encounter_id").alias("pr_encounter_id"))
-          .join(fr, F.col("pr_encounter_id") == fr.index_encounter_id, "inner")
-          .select("index_encounter_id", F.col("is_30_day_readmission").alias("pr_is_30")))
-    j = pe.join(pr, pe.encounter_id == pr.index_encounter_id, "left")
+    # one row per encounter_id and per index_encounter_id: one join, and plain counts of the ids
+    fr = ctx.ref(fct_readmissions).select("index_encounter_id", F.col("is_30_day_readmission").alias("pr_is_30"))
+    j = pe.join(fr, pe.encounter_id == fr.index_encounter_id, "left")
     total = "total_claim_cost"
     agg = (j.groupBy("provider_key", "provider_id", "provider_name", "provider_specialty", "organization_name",
                      "address_city", "address_state")
-           .agg(F.countDistinct("encounter_id").alias("total_encounters"),
+           .agg(F.count("encounter_id").alias("total_encounters"),
                 F.countDistinct("patient_key").alias("unique_patients"),
                 F.sum(_yes("is_emergency_visit")).alias("emergency_encounters"),
                 F.sum(_yes("is_inpatient")).alias("inpatient_encounters"),
                 money_sum(total).alias("total_cost"),
                 round2(money_avg(total)).alias("avg_cost_per_encounter"),
                 money_sum("encounter_payer_coverage").alias("total_payer_coverage"),
-                F.countDistinct("index_encounter_id").alias("inpatient_discharges"),
+                F.count("index_encounter_id").alias("inpatient_discharges"),
                 F.sum(_yes("pr_is_30")).alias("readmission_30day_count")))
     rate = round2(F.lit(100.0) * F.col("readmission_30day_count").cast("double")
                   / F.nullif(F.col("inpatient_discharges").cast("double"), F.lit(0.0)))

@@ -11,6 +11,7 @@ report plans are small scans of facts instead of the whole lineage.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import time
 import uuid
 
@@ -42,17 +43,37 @@ FACT_BUCKETS = {
 }
 
 
-def build(ctx: Context, out: str, models: list[str] | None = None, database: str = "clinlake",
+BUCKET_BYTES = 256 << 20
+LEAST_BUCKETS = 8
+
+
+def bucket_count(ctx: Context) -> int:
+    """Buckets of about BUCKET_BYTES for the bytes that the raw tables' scans read."""
+    size, seen = 0, set()
+    for df in ctx.raw.values():
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            if (name := leaf.simpleString(1000)) not in seen:
+                seen.add(name)
+                size += int(str(leaf.stats().sizeInBytes()))
+    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+
+
+def build(ctx: Context, out: str, models: list[str] | None = None, database: str | None = None,
           buckets: int | None = None, threads: int = 4) -> dict[str, str]:
     """Write marts and reports in dependency order; returns model -> path.
 
-    ``buckets`` (default: the session's shuffle partitions) is the bucket
+    ``buckets`` (default: from the size of the raw tables) is the bucket
     count of the fact tables; all facts share it so their joins on the
-    bucket keys are shuffle-free.  Independent models of one level are
+    bucket keys are shuffle-free.  ``database`` (default: named after
+    ``out``) holds their catalog entries, so builds to different folders
+    keep their own.  Independent models of one level are
     written as concurrent Spark jobs from ``threads`` driver threads.
     """
     spark = ctx.spark
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or bucket_count(ctx)
+    database = database or "clinlake_" + hashlib.md5(out.rstrip("/").encode()).hexdigest()[:12]
     paths = {}
 
     def write(layer, name, fn):

@@ -40,11 +40,13 @@ def write_bucketed_table(df: DataFrame, root: str, layer: str, model: str, datab
     Tables bucketed on the same key with the same bucket count join and
     aggregate on that key without a shuffle; readers must go through the
     catalog (``spark.table``) so the bucketing is known to the planner.
+    Rows are first dealt out by the bucket key, so each task writes one
+    bucket: the number of files is the number of buckets, not tasks times buckets.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_catalog/{database}'")
     path = table_path(root, layer, model)
-    (df.write.mode("overwrite").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    (df.repartition(buckets, *bucket_by).write.mode("overwrite").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
      .option("path", path).saveAsTable(f"{database}.{model}"))
     return path
 

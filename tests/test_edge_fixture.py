@@ -31,8 +31,12 @@ def fx(spark):
     return frames, con, oracles
 
 
+_CONTEXTS = {}
+
+
 def ctx_of(spark, frames):
-    return Context(spark, dict(frames))
+    """One context for all tests: models are defined, and the suite's tables written, once."""
+    return _CONTEXTS.setdefault(id(frames), Context(spark, dict(frames)))
 
 
 def _norm(v):

@@ -56,3 +56,24 @@ def test_sequence_number_equals_row_number_with_copies_and_a_hot_key(spark):
     for chunk in (1 << 16, 100, 1):   # whatever the size of the pieces
         got = sequence_number(df, ["p"], order, "v", chunk=chunk)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_join_period_of_year_equals_the_ranged_join(spark):
+    """For whole-year periods both point-in-time joins agree, on events with distinct ids."""
+    import random
+
+    from clinlake.operators.point_in_time import join_period_of_year
+
+    r = random.Random(2)
+    ev = spark.createDataFrame([(f"e{i}", r.choice(["a", "b", "hot", None]),
+                                 None if i % 50 == 0 else dt.date(r.randrange(1994, 2003), r.randrange(1, 13), 5)) for i in range(400)],
+                               "eid string, pid string, d date")
+    per = []
+    for i in range(60):
+        start = r.randrange(1993, 2002)
+        per.append((r.choice(["a", "b", "hot"]), dt.date(start, 1, 1), dt.date(start + r.randrange(3), 12, 31), i))
+    per = spark.createDataFrame(per, "pid string, f date, t date, v int")
+    latest = [("f", "desc", "first"), ("v", "desc", "first")]
+    want = point_in_time_join(ev, per, "pid", ev.d, "f", "t", ["eid"], latest)
+    got = join_period_of_year(ev, per, "pid", ev.d, "f", "t", latest)
+    assert sorted((x.eid, x.pit_v) for x in got.collect()) == sorted((x.eid, x.pit_v) for x in want.collect())

@@ -32,3 +32,17 @@ def test_library_never_collects_to_the_driver():
                 offenders.append((p.name, bad))
     # the build summary reads back three status counts; nothing else reaches the driver
     assert offenders in ([], [("warehouse.py", ".collect()")]), offenders
+
+
+def test_suite_reads_tables_by_column(spark):
+    """No row-format scans and no row-multiplying Expand in the quality suite or the reports, planned as for large tables."""
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("dq_fused_checks", "dq_singular_checks", "dq_report_profile", "rpt_provider_performance"):
+            plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert "ExistingRDD" not in plan and "Expand" not in plan, name
+        plan = E.queries()["rpt_readmission_rate_monthly"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "medication" not in plan and "procedure" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)

@@ -48,3 +48,28 @@ def test_bucketed_facts_join_without_shuffle(spark):
         assert j.count() == fr.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_one_file_per_bucket(spark):
+    import glob
+
+    out = tempfile.mkdtemp(prefix="clinlake-files-")
+    ctx = Context.from_bench(spark, SF_SMALL)
+    saved = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = warehouse.build(ctx, out, models=list(warehouse.FACT_BUCKETS), buckets=16)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", saved)
+    for name in warehouse.FACT_BUCKETS:
+        assert len(glob.glob(f"{paths[name]}/part-*")) == 16, name
+
+
+def test_builds_to_two_folders_keep_their_tables(spark):
+    first, second = (tempfile.mkdtemp(prefix="clinlake-two-") for _ in range(2))
+    ctx = Context.from_bench(spark, SF_SMALL)
+    warehouse.build(ctx, first, models=["fct_readmissions"], buckets=4)
+    before = ctx.ref(warehouse.marts.fct_readmissions)
+    warehouse.build(Context.from_bench(spark, SF_SMALL), second, models=["fct_readmissions"], buckets=4)
+    assert all(f"{first}/" in f for f in before.inputFiles())
+    assert warehouse.bucket_count(ctx) >= warehouse.LEAST_BUCKETS
