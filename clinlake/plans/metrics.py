@@ -412,6 +412,20 @@ def metric_top_providers_by_cost(ctx: Context) -> DataFrame:
                         order_by=["-total_healthcare_cost", "provider__provider_name"], limit=10)
 
 
+def metric_encounters_by_day(ctx: Context) -> DataFrame:
+    return metric_query(ctx, ["total_encounters", "total_healthcare_cost"], ["metric_time__day"])
+
+
+def metric_cost_by_quarter(ctx: Context) -> DataFrame:
+    return metric_query(ctx, ["total_healthcare_cost", "insurance_coverage_rate"], ["metric_time__quarter", "encounter__care_setting"])
+
+
+def metric_readmissions_of_payer_state(ctx: Context) -> DataFrame:
+    """A filter two hops away: discharges whose encounter's payer has a known state."""
+    return metric_query(ctx, ["total_discharges", "readmission_rate_30day"], ["metric_time__quarter"],
+                        where="payer__state IS NOT NULL AND payer__payer_name > 'B'")
+
+
 METRIC_QUERIES = {
     "metric_encounters_by_month": metric_encounters_by_month,
     "metric_readmissions_by_window_year": metric_readmissions_by_window_year,
@@ -421,4 +435,7 @@ METRIC_QUERIES = {
     "metric_patients_by_gender": metric_patients_by_gender,
     "metric_inpatient_week_filtered": metric_inpatient_week_filtered,
     "metric_top_providers_by_cost": metric_top_providers_by_cost,
+    "metric_encounters_by_day": metric_encounters_by_day,
+    "metric_cost_by_quarter": metric_cost_by_quarter,
+    "metric_readmissions_of_payer_state": metric_readmissions_of_payer_state,
 }

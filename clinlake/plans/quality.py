@@ -499,6 +499,25 @@ def check_rpt_readmission_rate_range(ctx: Context) -> DataFrame:
                                                         | (F.col("readmission_30day_rate_pct") > 100)))
 
 
+# models that each singular check reads, its first one being the tested one
+SINGULAR_READS = {
+    "check_stg_encounters_temporal": ["stg_encounters"],
+    "check_stg_medications_temporal": ["stg_medications"],
+    "check_stg_costs_non_negative": ["stg_encounters", "stg_medications", "stg_procedures"],
+    "check_stg_utilization_non_negative": ["stg_organizations", "stg_providers"],
+    "check_stg_payers_coverage": ["stg_payers"],
+    "check_int_insurance_effective_dates": ["int_patient_insurance_periods"],
+    "check_int_scd2_no_overlap": ["int_patient_insurance_periods"],
+    "check_int_one_current_per_patient": ["int_patient_insurance_periods"],
+    "check_int_encounter_temporal": ["int_encounter_enriched"],
+    "check_int_coverage_lte_total": ["int_encounter_enriched"],
+    "check_int_readmission_dates": ["int_readmission_flags"],
+    "check_int_readmission_flag_nesting": ["int_readmission_flags"],
+    "check_marts_encounter_costs_duration": ["fct_encounters"],
+    "check_marts_readmissions_link": ["fct_readmissions", "fct_encounters"],
+    "check_rpt_readmission_rate_range": ["rpt_readmission_rate_monthly"],
+}
+
 SINGULAR = {
     "check_stg_encounters_temporal": ("staging", check_stg_encounters_temporal),
     "check_stg_medications_temporal": ("staging", check_stg_medications_temporal),
@@ -589,15 +608,6 @@ def dq_report_profile(ctx: Context) -> DataFrame:
     return out
 
 
-QUALITY_QUERIES = {
-    "dq_fused_checks": dq_fused_checks,
-    "dq_singular_checks": dq_singular_checks,
-    "dq_load_profile": dq_load_profile,
-    "dq_source_freshness": dq_source_freshness,
-    "dq_report_profile": dq_report_profile,
-}
-
-
 # -- schema contracts (enforced column names and types of the staging models) -------
 # The declared contract, column name and warehouse type, in order.
 STAGING_CONTRACTS = {
