@@ -140,6 +140,15 @@ class Context:
         kept = {k: v for k, v in self._models.items() if k in self._materialized}
         return Context(self.spark, self.raw, self.as_of, self.run_ts, True, kept, set(kept))
 
+    def once(self, name: str, build: Callable[[Context], DataFrame]) -> DataFrame:
+        """``build(ctx)`` computed once for this context: a table in its folder."""
+        if name not in self._models:
+            path = f"{self._folder()}/{name}"
+            df = build(self)
+            df.write.parquet(path)
+            self._models[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self._models[name]
+
     def use_table(self, model: Callable[[Context], DataFrame], df: DataFrame) -> None:
         """Downstream models read ``df`` (a written table) for ``model``."""
         self._models[model.__name__] = df
@@ -154,7 +163,8 @@ class Context:
         if not self._warehouse:
             ctx = self.materialized()
             ctx.build_levels(MODEL_LEVELS, threads)
-            self._warehouse.append(ctx)
+            ctx._warehouse[:] = [ctx]
+            self._warehouse[:] = [ctx]
         return self._warehouse[0]
 
     def source(self, name: str) -> DataFrame:

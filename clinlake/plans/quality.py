@@ -550,14 +550,20 @@ def singular_results(ctx: Context) -> DataFrame:
     return out.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT_COLUMNS)
 
 
+def suite_results(ctx: Context) -> DataFrame:
+    """Results of all declared and singular tests: one action per context, whose table the suite's queries share."""
+    return ctx.materialize_warehouse().once(
+        "suite_results", lambda c: column_test_results(c).unionByName(singular_results(c)))
+
+
 def dq_fused_checks(ctx: Context) -> DataFrame:
-    """All 195 declared column tests, one result row each (one action runs them all)."""
-    return column_test_results(ctx)
+    """All 195 declared column tests, one result row each."""
+    return suite_results(ctx).filter(F.col("test_type") != "singular")
 
 
 def dq_singular_checks(ctx: Context) -> DataFrame:
     """Failure counts of the 15 singular checks."""
-    return singular_results(ctx)
+    return suite_results(ctx).filter(F.col("test_type") == "singular")
 
 
 # -- freshness, load profile, report profile ----------------------------------------

@@ -3,7 +3,8 @@ Python evaluation, no sampling -- the whole work stays in Catalyst/Tungsten."""
 import pytest
 
 import __spark_entry__ as E
-from clinlake.plans import catalog
+from clinlake.context import Context
+from clinlake.plans import catalog, quality, reports
 from conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -39,9 +40,11 @@ def test_suite_reads_tables_by_column(spark):
     saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("dq_fused_checks", "dq_singular_checks", "dq_report_profile", "rpt_provider_performance"):
-            plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-            assert "ExistingRDD" not in plan and "Expand" not in plan, name
+        ctx = Context.shared(spark, SF_SMALL)
+        for build in (quality.column_test_results, quality.singular_results, quality.dq_report_profile,
+                      reports.rpt_provider_performance):
+            plan = build(ctx)._jdf.queryExecution().executedPlan().toString()
+            assert "ExistingRDD" not in plan and "Expand" not in plan, build.__name__
         plan = E.queries()["rpt_readmission_rate_monthly"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "medication" not in plan and "procedure" not in plan
     finally:
