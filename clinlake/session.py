@@ -36,9 +36,12 @@ CORE_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Cluster profile for ~100 TB inputs on ~1000 executors.  Shuffle partitions
-# start high (about 256 MB each for the largest shuffle) and AQE coalesces
-# them toward the advisory size instead of maximising parallelism; scans
+# Cluster profile for ~100 TB inputs on ~1000 executors.  Size the shuffle
+# partitions by the largest shuffle: its bytes / 256 MB, up to what the
+# shuffle service bears.  40,000 are 256 MB each for a 10 TB shuffle (keys,
+# periods, distinct events); a fact's full rows of a 100 TB input are 2.5 GB
+# each, which sorts with spill.  AQE coalesces smaller shuffles toward the
+# advisory size instead of maximising parallelism; scans
 # read 512 MB splits; dimensions up to 64 MB broadcast (by measured size),
 # larger ones sort-merge; partitions over 512 MB and 5x the median are
 # split as skewed.  Decommissioning migrates shuffle and cached blocks off
