@@ -326,7 +326,8 @@ def confirmed(docs: DataFrame, clusters: DataFrame, plan: Plan, cluster: int, cl
                                            pa.array([s.tobytes() for s in sets], pa.binary())],
                                           ["id", "cluster", "blocks", "block", "shingles"])
 
-    sets = docs.join(placed, docs["doc_id"] == placed["id"]).select("id", "cluster", "blocks", "block", "text").mapInArrow(
+    # always a shuffled join, so that the plan (and what it moves) is the same at every size
+    sets = docs.join(placed.hint("merge"), docs["doc_id"] == placed["id"]).select("id", "cluster", "blocks", "block", "text").mapInArrow(
         lambda b: in_pieces(b, to_sets), "id long, cluster long, blocks int, block int, shingles binary")
     other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = sets.select("id", "cluster", "shingles", "blocks", "block", other.alias("other")).filter(
@@ -365,4 +366,4 @@ def near_duplicates(docs: DataFrame, threshold: float | Fraction = 0.8, shingle:
 def first_copies(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` (all columns) without the documents that another of their group represents."""
     gone = near_duplicates(docs, **settings).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
