@@ -8,8 +8,9 @@ A task takes its rows in blocks.  A block's index has, for each dimension,
 segments of rows of about equal component value (``levels`` quantised values;
 a segment knows its smallest and largest one).  For a query, the impact of a
 segment is the largest gain of its rows over the dimension's least
-contribution; segments are processed by descending impact, in steps.  After a
-step each row has a lower and an upper bound of its score.  Processing stops
+contribution; segments are processed by descending impact, in steps (after
+half of the postings only for rows that are still possible).  After a step
+each row has a lower and an upper bound of its score.  Processing stops
 only when fewer than a few rows could still reach the k-th best score known
 (from lower bounds and from earlier blocks), or at the end; the rows that
 could are rescored exactly.  Each task emits k rows per query, and a window
@@ -65,51 +66,63 @@ def exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 class Block:
     """Impact-ordered segments of up to a few thousand rows."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, levels: int = 16):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, levels: int = 32):
         self.ids, self.rows = ids, rows
         n, dim = rows.shape
         self.low, self.high = rows.min(0), rows.max(0)
         width = np.maximum(self.high - self.low, 1) / levels
         level = np.minimum(((rows - self.low) / width).astype(np.int64), levels - 1)
-        key = (np.arange(dim) * levels + level).T.reshape(-1)  # by dimension, then row
+        self.cell = (np.arange(dim) * levels + level).astype(np.int32)  # the segment of each row and dimension
+        key = self.cell.T.reshape(-1)  # by dimension, then row
         order = np.argsort(key, kind="stable")
         self.post = (order % n).astype(np.int64)
         bounds = np.searchsorted(key[order], np.arange(dim * levels + 1))
-        full = np.flatnonzero(np.diff(bounds))
-        self.start, self.size = bounds[full], np.diff(bounds)[full]
-        self.dim = full // levels
+        self.full = np.flatnonzero(np.diff(bounds))
+        self.start, self.size = bounds[self.full], np.diff(bounds)[self.full]
+        self.dim = np.repeat(np.arange(dim), levels)
         value = rows.T.reshape(-1)[order]
-        self.least = np.minimum.reduceat(value, self.start) if len(full) else np.zeros(0)
-        self.most = np.maximum.reduceat(value, self.start) if len(full) else np.zeros(0)
+        self.least, self.most = np.zeros(dim * levels), np.zeros(dim * levels)
+        if len(self.full):
+            self.least[self.full] = np.minimum.reduceat(value, self.start)
+            self.most[self.full] = np.maximum.reduceat(value, self.start)
 
-    def candidates(self, query: np.ndarray, own: int, k: int, known: float, steps: int = 8) -> np.ndarray:
-        """Rows that may be among the best k with a score of at least ``known``, by bounds from segments."""
+    def candidates(self, query: np.ndarray, own: int, k: int, known: float, steps: int = 2) -> np.ndarray:
+        """Rows that may be among the best k with a score of at least ``known``, by bounds from segments.
+
+        The first half of the postings, in segments of descending impact, goes to all rows' accumulators; the
+        remaining segments are processed in ``steps`` and only for the rows that are still possible."""
         n, dim = self.rows.shape
         floor = np.minimum(query * self.low, query * self.high)  # least contribution of each dimension
+        base = floor.sum()
         a, b = query[self.dim] * self.least - floor[self.dim], query[self.dim] * self.most - floor[self.dim]
         gain_low, gain_high = np.minimum(a, b), np.maximum(a, b)
-        order = np.argsort(-gain_high, kind="stable")
+        order = np.argsort(-gain_high[self.full], kind="stable")
+        impact = self.full[order]  # segments by descending impact
         slack = 1e-9 * (np.abs(floor).sum() + gain_high.sum() + 1)
+        half = int(np.searchsorted(np.cumsum(self.size[order]), n * dim / 2)) + 1
+        stops = np.unique(np.linspace(half, len(impact), steps + 1).astype(int)) if len(impact) > half else [len(impact)]
+        done = np.zeros(len(gain_high), bool)
         alive = np.flatnonzero(self.ids != own)
-        low, high = np.full(n, floor.sum()), np.full(n, floor.sum())
-        seen = np.zeros((n, dim), np.float32)
-        for part in np.array_split(order, steps):
-            at = np.repeat(self.start[part], self.size[part]) + np.arange(self.size[part].sum()) - np.repeat(
-                np.cumsum(self.size[part]) - self.size[part], self.size[part])
-            rows = self.post[at]
-            low += np.bincount(rows, np.repeat(gain_low[part], self.size[part]), n)
-            high += np.bincount(rows, np.repeat(gain_high[part], self.size[part]), n)
-            seen[rows, np.repeat(self.dim[part], self.size[part])] = 1
+        for i, stop in enumerate(stops):
+            done[impact[:stop]] = True
             # what a dimension can still add to a row that it has not met: its next segment's gain
             rest = np.zeros(dim)
-            later = order[np.searchsorted(-gain_high[order], -gain_high[part[-1]], side="left"):] if len(part) else order
-            np.maximum.at(rest, self.dim[later], gain_high[later])
-            upper = high[alive] + rest.sum() - seen[alive] @ rest
+            np.maximum.at(rest, self.dim[impact[stop:]], gain_high[impact[stop:]])
+            if i == 0:  # postings of the segments, for all rows
+                part = order[:stop]
+                size, seg = self.size[part], impact[:stop]
+                at = np.repeat(self.start[part] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                rows = self.post[at]
+                low = base + np.bincount(rows, np.repeat(gain_low[seg], size), n)[alive]
+                high = base + rest.sum() + np.bincount(rows, np.repeat(gain_high[seg] - rest[self.dim[seg]], size), n)[alive]
+            else:
+                cells = self.cell[alive]
+                low = base + np.where(done, gain_low, 0.0)[cells].sum(axis=1)
+                high = base + np.where(done, gain_high, rest[self.dim])[cells].sum(axis=1)
             floor_k = known
             if len(alive) >= k:
-                floor_k = max(known, np.partition(low[alive], len(alive) - k)[len(alive) - k])
-            keep = upper + slack >= floor_k - slack
-            alive = alive[keep]
+                floor_k = max(known, np.partition(low, len(alive) - k)[len(alive) - k])
+            alive = alive[high + slack >= floor_k - slack]
             if len(alive) <= 4 * k:  # proof: no other row can be among the best
                 break
         return alive
