@@ -11,9 +11,10 @@ last return the columns of ``documents``:
 4. ``private_data``: personal data is masked in the text.
 5. ``sentencepiece``: the text is encoded, and decoded again from its ids.
 
-Cases: the operators' own (see their modules); documents without an id stay in
-the filtering stages, which cannot judge them, and leave with the last one; an
-empty table passes through.
+Cases: the operators' own (see their modules).  A document without an id is
+judged by its quality and masked like any other; it cannot be told apart from
+others, so stages 2 and 3 let it pass, and the last one, whose rows are known
+by their ids, leaves it out.  An empty table passes through.
 """
 
 from __future__ import annotations
