@@ -8,9 +8,12 @@
    context pattern and identifier, and scores it in ``rounds``: a pattern's
    score is the mean score of its instances, damped for few ones; an
    identifier's is the noisy-or of its patterns' scores; seeds keep 1.
-3. Patterns that reach ``pattern_score`` with at least ``support`` distinct
-   seeds are trusted, and an identifier of score ``instance_score`` or more is
-   extracted wherever a trusted pattern precedes it (kind ``context``).
+3. A pattern counts in a round if at least ``support`` distinct instances
+   score ``instance_score`` or more by then, seeds and learnt identifiers
+   alike, so each round reaches patterns one hop further from the seeds.
+   Patterns that reach ``pattern_score`` are trusted, and an identifier of
+   score ``instance_score`` or more is extracted wherever a trusted pattern
+   precedes it (kind ``context``).
 
 All counts cover all documents.  Only identifiers and their contexts are
 shuffled; edges are aggregated before each exchange, and the joins are plain
@@ -151,19 +154,22 @@ def scan(docs: DataFrame) -> DataFrame:
     return documents(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, SCAN)
 
 
-def pattern_scores(edges: DataFrame, instances: DataFrame) -> DataFrame:
-    """pattern, score and distinct seeds: the mean score of a pattern's instances, damped by one empty instance."""
+def pattern_scores(edges: DataFrame, instances: DataFrame, instance_score: float) -> DataFrame:
+    """pattern, score and distinct sure instances: the mean score of a pattern's instances, damped by one empty instance."""
     return edges.join(instances, "instance").groupBy("pattern").agg(
-        (F.sum("score") / (F.count("*") + 1)).alias("pattern_score"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+        (F.sum("score") / (F.count("*") + 1)).alias("pattern_score"),
+        F.sum((F.col("score") >= instance_score).cast("int")).alias("sure"))
 
 
-def bootstrap(edges: DataFrame, rounds: int, support: int) -> tuple[DataFrame, DataFrame]:
-    """Scores of patterns and of identifiers after ``rounds`` over the graph of distinct (pattern, instance, seed) edges."""
+def bootstrap(edges: DataFrame, rounds: int, support: int, instance_score: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Scores of patterns and of identifiers after ``rounds`` over the graph of distinct (pattern, instance, seed) edges.
+
+    Instances of score ``instance_score`` or more support a pattern; at 1 these are the seeds."""
     instances = cut(edges.groupBy("instance").agg(F.max("seed").alias("seed")).withColumn(
         "score", F.col("seed").cast("double")))
     patterns = None
     for _ in range(rounds):
-        patterns = cut(pattern_scores(edges.drop("seed"), instances).filter(F.col("seeds") >= support))
+        patterns = cut(pattern_scores(edges.drop("seed"), instances, instance_score).filter(F.col("sure") >= support))
         # noisy-or: 1 - prod(1 - score), with scores kept below 1
         log = F.log1p(-F.least(F.col("pattern_score"), F.lit(1 - 1e-9)))
         learnt = edges.join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(log))).alias("learnt"))
@@ -179,7 +185,7 @@ def private_spans(docs: DataFrame, rounds: int = 3, support: int = 3, pattern_sc
     found = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
     edges = cut(found.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy(
         "pattern", "instance").agg(F.max("seed").alias("seed")))
-    patterns, instances = bootstrap(edges, rounds, support)
+    patterns, instances = bootstrap(edges, rounds, support, instance_score)
     trusted = patterns.filter(F.col("pattern_score") >= pattern_score).select("pattern")
     known = instances.filter(F.col("score") >= instance_score).select("instance")
     new = found.filter(~F.col("seed")).select("row", F.explode("patterns").alias("pattern"), "instance", "start", "end").join(

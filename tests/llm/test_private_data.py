@@ -90,6 +90,18 @@ def test_scores_equal_a_plain_loop(spark):
     assert {x.instance: round(x.score, 9) for x in instances.collect()} == {i: round(s, 9) for i, s in score.items()}
 
 
+def test_learnt_identifiers_support_further_patterns(spark):
+    """seeds -> pattern A -> numbers -> pattern B -> a number that never follows A."""
+    docs = [(i, f"the customer number: user{i}@mail.com here") for i in range(30)]
+    docs += [(100 + i, f"the customer number: {99887700 + i} here") for i in range(6)]
+    docs += [(200 + i, f"our ledger entry {99887700 + i} there") for i in range(6)]
+    docs += [(300, "our ledger entry 55443322 there"), (301, "some other entry 55443311 there")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in P.digest(P.private_spans(df)).collect()}
+    assert all(got[200 + i] == "context:17:25" for i in range(6))
+    assert got[300] == "context:17:25" and got[301] == ""
+
+
 def test_redact(spark):
     docs = [(i, t, "x", len(t)) for i, t in contextual()] + [(30, None, "x", None), (31, "ok", "x", 2), (None, "a@b.cd", "x", 6)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
