@@ -1,9 +1,12 @@
 """Personal data: fixed expressions as seeds, and bootstrapped contextual extraction.
 
 1. A task finds the seed entities of the fixed kinds (email, ip, card, phone)
-   and, around them and around every other identifier-like token (four digits
-   or more), the lexical contexts: the two words before it, and the cue word
-   right before it with its punctuation (``id:``).
+   and every other identifier-like run (four digits or more, of any length,
+   bounded by white space and by cue and quoting characters, as in
+   ``id=12345678`` or JSON), and before each of them the lexical contexts: the
+   two words before it, and the cue word right before it with its punctuation
+   (``id:``).  In the word that holds the run, the parts between bounding
+   characters count as words; a word of more than 40 characters is marked.
 2. Spark builds the pattern-instance graph, one edge per distinct pair of
    context pattern and identifier, and scores it in ``rounds``: a pattern's
    score is the mean score of its instances, damped for few ones; an
@@ -26,7 +29,9 @@ empty table gives none; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,8 +49,16 @@ IP = r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-TOKEN = r"[^\x20\x09-\x0D]+"
+BOUND = r"""\s=:"',;|&{}#<>?\[\]"""  # what ends an identifier
+# Short groups stay one identifier (1,234,567 or 12:34:56 or 00:1a:2b:3c); other runs are sought at their start only, so
+# that all is linear.
+CANDIDATE = (rf"(?<![^{BOUND}])(?:(?:[0-9]{{1,3}}(?:[:,'\xa0\u2009\u202f][0-9]{{1,3}})+|[0-9A-Fa-f]{{1,4}}(?:::?[0-9A-Fa-f]{{1,4}}){{2,}})"
+             rf"(?![^{BOUND}])|[^{BOUND}0-9]*+[0-9][^{BOUND}]*+)")
+EDGE = "\"'`.,;:!?()[]{}<>#$%&*=|"
+WORD_EDGE = EDGE + "-"
+CUES = ":#=|"
 MAX_CONTEXT_WORD = 40  # longer words stand as one mark in a pattern
+MAX_KEY = 64  # longer identifiers are known by their hash
 
 
 def emails(text: str, domain: re.Pattern):
@@ -88,26 +101,64 @@ def seeds(text: str, compiled) -> list[tuple[int, int, int]]:
     return out
 
 
-def _word(token: str) -> str:
-    w = token.strip("\"'`.,;:!?()[]{}<>#$%&*=|-").lower()
-    return "<long>" if len(w) > MAX_CONTEXT_WORD else "<number>" if any(c.isdigit() for c in w) else w
-
-
-def contexts(text: str, start: int) -> list[str]:
-    """The lexical patterns before a place."""
-    before = text[max(0, start - 4 * MAX_CONTEXT_WORD):start]
-    glued = bool(before) and not before[-1].isspace()
-    words = before.split()
-    if start > len(before) and words and not before[0].isspace():
-        words = words[1:]  # may be the rest of a longer word
-    out = []
-    if len(words) >= 2:
-        out.append(f"words {_word(words[-2])} {_word(words[-1])}")
-    if words and (glued or words[-1][-1] in ":#=|"):
-        cue = _word(words[-1])
-        if cue:
-            out.append(f"cue {cue} {words[-1][-1] if words[-1][-1] in ':#=|' else ''}")
-    return out
+class Contexts:
+    """The lexical patterns before places of one text; a word is cut into parts once, where a place needs them."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.words = [m.span() for m in re.finditer(r"\S+", text)]
+        self.starts = [a for a, _ in self.words]
+        self.cut: dict[int, tuple[list[int], list[int]]] = {}
+
+    def parts(self, i: int) -> tuple[list[int], list[int]]:
+        """Starts and ends of the parts of word i between bounding characters, stripped, without empty ones."""
+        if i not in self.cut:
+            starts, ends = [], []
+            for m in re.finditer(f"[^{BOUND}]+", self.text[slice(*self.words[i])]):
+                left = len(m[0]) - len(m[0].lstrip(WORD_EDGE))
+                if left < len(m[0]):
+                    starts.append(self.words[i][0] + m.start() + left)
+                    ends.append(self.words[i][0] + m.start() + len(m[0].rstrip(WORD_EDGE)))
+            self.cut[i] = starts, ends
+        return self.cut[i]
+
+    def name(self, start: int, end: int) -> str:
+        if end - start > MAX_CONTEXT_WORD:
+            return "<long>"
+        w = self.text[start:end].lower()
+        return "<number>" if any(c.isdigit() for c in w) else w
+
+    def word(self, i: int) -> str:
+        start, end = self.words[i]
+        w = self.text[start:end]
+        left = w.lstrip(WORD_EDGE)
+        return self.name(end - len(left), start + len(w.rstrip(WORD_EDGE))) if left else ""
+
+    def before(self, place: int) -> list[str]:
+        text, i = self.text, bisect_right(self.starts, place) - 1  # the word that holds the place
+        starts, ends = self.parts(i) if place > self.starts[i] else ([], [])
+        n = bisect_left(starts, place)
+        own, cue = [], None
+        if n:
+            end = min(ends[n - 1], place)
+            while text[end - 1] in WORD_EDGE:
+                end -= 1
+            own = [self.name(starts[k], ends[k]) for k in range(max(n - 2, 0), n - 1)] + [self.name(starts[n - 1], end)]
+            at = place
+            while at > end and text[at - 1] not in CUES:
+                at -= 1
+            cue = f"cue {own[-1]} {text[at - 1] if at > end else ''}"
+        elif i and text[self.words[i - 1][1] - 1] in CUES:
+            starts, ends = self.parts(i - 1)
+            if starts:
+                cue = f"cue {self.name(starts[-1], ends[-1])} {text[self.words[i - 1][1] - 1]}"
+        two = [self.word(k) for k in range(max(i - 2 + len(own), 0), i)] + own
+        return ([f"words {two[0]} {two[1]}"] if len(two) == 2 else []) + ([cue] if cue else [])
+
+
+def instance(identifier: str) -> str:
+    key = re.sub(r"[^0-9A-Za-z@]", "", identifier).lower()
+    return key if len(key) <= MAX_KEY else "#" + hashlib.sha256(key.encode()).hexdigest()
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -119,8 +170,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """Seed spans and all identifiers with their context patterns, one row per document."""
     def run(batches):
         compiled = [re.compile(x) for x in (DOMAIN, IP, CARD, PHONE)]
-        digits = re.compile(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
-        edge = "\"'`.,;:!?()[]{}<>#$%&*=|"
+        candidate = re.compile(CANDIDATE)
 
         def one(piece: pa.RecordBatch) -> pa.RecordBatch:
             spans, found = [], []
@@ -131,18 +181,19 @@ def scan(docs: DataFrame) -> DataFrame:
                 near = [(a, b, True) for _, a, b in own]
                 taken = sorted((a, b) for a, b, _ in near)
                 i = 0
-                for m in digits.finditer(text):
+                for m in candidate.finditer(text):
                     token = m[0]
-                    if len(token) > 64 or sum(c.isdigit() for c in token) < 4:
+                    if sum(c.isdigit() for c in token) < 4:
                         continue
-                    a = m.start() + len(token) - len(token.lstrip(edge))
-                    b = m.end() - (len(token) - len(token.rstrip(edge)))
+                    a = m.start() + len(token) - len(token.lstrip(EDGE))
+                    b = m.end() - (len(token) - len(token.rstrip(EDGE)))
                     while i < len(taken) and taken[i][1] <= a:
                         i += 1
                     if a < b and not any(x < b for x, _ in taken[i:i + 4]):
                         near.append((a, b, False))
-                found.append([{"patterns": p, "instance": re.sub(r"[^0-9A-Za-z@]", "", text[a:b]).lower(), "seed": s,
-                               "start": a, "end": b} for a, b, s in near if (p := contexts(text, a))])
+                known = Contexts(text) if near else None
+                found.append([{"patterns": p, "instance": instance(text[a:b]), "seed": s, "start": a, "end": b}
+                              for a, b, s in near if (p := known.before(a))])
             kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             founds = pa.list_(pa.struct([("patterns", pa.list_(pa.string())), ("instance", pa.string()), ("seed", pa.bool_()),
                                          ("start", pa.int32()), ("end", pa.int32())]))

@@ -102,6 +102,46 @@ def test_learnt_identifiers_support_further_patterns(spark):
     assert got[300] == "context:17:25" and got[301] == ""
 
 
+def test_identifiers_inside_words(spark):
+    """key=value, JSON, a long word around or before the identifier."""
+    docs = [(i, f"row{'xyz'[i % 3] * (i + 1)} mail=user{i}@mail.com") for i in range(12)]
+    docs += [(50 + i, f'{{"a":1,"owner":"user{i}@mail.com"}}') for i in range(12)]
+    docs += [(80 + i, f"{'w' * 200} number user{i}@mail.com") for i in range(12)]
+    texts = {100: "text mail=99887766 end", 101: "mail=" + "9" * 100, 102: f'{{"z":"{"q" * 900}","owner":55443322,"b":2}}',
+             103: f"{'v' * 200} number 66554433", 104: "x,12121212,y", 105: '{"owner": "55443322"}', 106: "mail=1,234,567",
+             107: "f?x=1&mail=31313131&y=2"}
+    found = {100: "99887766", 101: "9" * 100, 102: "55443322", 103: "66554433", 105: "55443322", 106: "1,234,567", 107: "31313131"}
+    df = spark.createDataFrame(docs + list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in P.digest(P.private_spans(df)).collect()}
+    for i, t in texts.items():
+        at = t.find(found.get(i, "\0"))
+        assert got[i] == (f"context:{at}:{at + len(found[i])}" if i in found else ""), (i, got[i])
+
+
+def test_contexts_before_places():
+    def at(text, x):
+        return P.Contexts(text).before(text.index(x))
+
+    assert at("our customer id: 1234", "1234") == ["words customer id", "cue id :"]
+    assert at("pay to account=1234", "1234") == ["words to account", "cue account ="]
+    assert at('{"x":7,"account":"1234"}', "1234") == ["words <number> account", "cue account :"]
+    assert at("a " + "b" * 500 + " 1234", "1234") == ["words a <long>"]
+    assert at("a" * 500 + " b 1234", "1234") == ["words <long> b"]
+    assert at("1234", "1234") == []
+
+
+def test_long_words_take_linear_time():
+    import time
+
+    t, n = time.time(), 0
+    for text in ("a" * 500_000, '"id":12345678,' * 40_000, "1.2.3.4/" * 60_000, "-" * 500_000 + "1234", "1,2," * 100_000):
+        starts = [m.start() for m in re.finditer(P.CANDIDATE, text)] + [a for _, a, _ in P.seeds(text, [
+            re.compile(x) for x in (P.DOMAIN, P.IP, P.CARD, P.PHONE)])]
+        known = P.Contexts(text)
+        n += sum(len(known.before(a)) for a in starts)
+    assert n and time.time() - t < 30
+
+
 def test_redact(spark):
     docs = [(i, t, "x", len(t)) for i, t in contextual()] + [(30, None, "x", None), (31, "ok", "x", 2), (None, "a@b.cd", "x", 6)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
