@@ -130,3 +130,57 @@ bad AS (
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict, template
 FROM r JOIN ways USING (host, path) LEFT JOIN bad USING (host, template)
 """
+
+OP11 = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents),
+draw AS (
+  SELECT doc_id, t, w, CAST(len(w) AS BIGINT) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS b,
+         CASE WHEN h IS NULL OR t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(w[1:least(a, b)], '') AS p,
+         array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(w[greatest(a, b) + 1:], '') AS s
+  FROM draw)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                        ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+def _op13(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """The rounds written out: vectors and centroids are lists, distances sums over the places of a list."""
+    parts = [f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = {dim} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dim}),
+vals AS (SELECT r, unnest(v) AS x, unnest(range(1, {dim + 1})) AS d FROM kept),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), v) - 1 AS INTEGER) AS c, v
+       FROM (SELECT vec_id, v FROM kept ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), v LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+x{i} AS (SELECT c, unnest(v) AS x, unnest(range(1, {dim + 1})) AS d FROM c{i}),
+d{i} AS (SELECT r, c, sum((vals.x - x{i}.x) * (vals.x - x{i}.x)) AS dist FROM vals JOIN x{i} USING (d) GROUP BY r, c),
+a{i} AS (SELECT r, min(struct_pack(dist := dist, c := c)) AS b FROM d{i} GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+m{i} AS (SELECT b.c AS c, d, sum(x) AS s, count(*) AS n FROM a{i} JOIN vals USING (r) GROUP BY b.c, d),
+n{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY d) AS v FROM m{i} GROUP BY c),
+c{i + 1} AS (SELECT c, CAST(coalesce(n{i}.v, c{i}.v) AS BIGINT[]) AS v FROM c{i} LEFT JOIN n{i} USING (c))""")
+    return ",".join(parts) + f"""
+SELECT vec_id, b.c AS cluster, CAST(b.dist AS BIGINT) AS distance, CAST(sum(b.dist) OVER (PARTITION BY b.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(b.dist) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} ON c{rounds}.c = b.c
+"""
+
+
+OP13 = _op13()
