@@ -10,8 +10,10 @@ are compared by rolling polynomials over those hashes (``Rolling``).
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,44 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: str, build: Callable[[], object]) -> object:
+    """``build()``, made once in a Python worker process and kept for its later tasks (code that travels by
+    value starts every task with fresh globals).  Only the last object of a kind (the key up to ``:``) stays."""
+    kept = sys.modules.setdefault("_clinlake_worker", types.ModuleType("_clinlake_worker")).__dict__
+    if key not in kept:
+        kind = key.partition(":")[0] + ":"
+        for old in [k for k in kept if k.startswith(kind)]:
+            del kept[old]
+        kept[key] = build()
+    return kept[key]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells its rows apart, and that column's name.
+
+    The id does, where no row lacks it and none repeats it; otherwise rows are numbered and written, since a task
+    that runs again must find the same numbers."""
+    key, doc_id = free_name(docs, "_row"), F.col("doc_id").cast("long")
+    ids = docs.groupBy(doc_id.alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("i is null or n > 1").isEmpty():
+        return docs.withColumn(key, doc_id), key
+    return cut(docs.withColumn(key, F.monotonically_increasing_id())), key
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is not among those of ``gone`` (one column), without the key."""
+    other = free_name(docs, "_gone")
+    return docs.join(gone.toDF(other).hint("merge"), docs[key] == F.col(other), "left_anti").drop(key)
+
+
 def documents(df: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id (long) and text (string) columns of ``df`` (and ``keep``); rows without an id take no part."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -83,6 +123,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def byte_strings(values: pa.Array) -> list[bytes]:
+    """The values of a binary array without nulls (many times faster than ``to_pylist``)."""
+    data, off = text_bytes(values.cast(pa.large_binary()).view(pa.large_string()))
+    data, off = data.tobytes(), off.tolist()
+    return [data[a:b] for a, b in zip(off, off[1:])]
+
+
 def mapped(texts: pa.Array, byte_map: np.ndarray) -> pa.Array:
     """The texts with each byte replaced by ``byte_map`` (which keeps bytes above 0x7F)."""
     data, off = text_bytes(texts)
@@ -210,8 +257,9 @@ class UnitCache:
     def ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all units in their order, and the n+1 offsets of the units in them."""
         coded = units.dictionary_encode()
-        vocab = coded.dictionary.to_pylist()
-        new = [u for u in vocab if u not in self.known]
+        vocab = byte_strings(coded.dictionary)
+        place = list(map(self.known.get, vocab))
+        new = [u for u, i in zip(vocab, place) if i is None]
         if len(self.known) + len(new) > self.limit:
             self._reset()
             new = vocab
@@ -224,7 +272,8 @@ class UnitCache:
             self.start[a:b], self.size[a:b] = self.used + off[:-1], np.diff(off)
             self.used += len(flat)
             self.known.update(zip(new, range(a, b)))
-        unit = np.fromiter(map(self.known.__getitem__, vocab), np.int64, len(vocab))
+            place = list(map(self.known.__getitem__, vocab))
+        unit = np.array(place, np.int64)
         unit = unit[coded.indices.to_numpy(zero_copy_only=False)] if len(vocab) else unit
         return gather(self.flat, self.start[unit], self.size[unit])
 

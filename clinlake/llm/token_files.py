@@ -20,9 +20,12 @@ in any order (a shuffled read permutes the index entries); lengths and
 checksums are verified, and a mismatch fails the task.
 
 Encoding.  The byte-level pre-tokenizer always ends a token before a space
-that a non-space follows, so texts are cut there, and each distinct unit of a
-task is encoded once by the tokenizers library (up to a bound of remembered units); the ids of a text are those of
-its units in order, equal to encoding the text whole.
+that a non-space follows, and between an ASCII letter and ASCII punctuation
+(but for a letter after a quote), so texts are cut there, and each distinct unit is
+encoded once by the tokenizers library in each Python worker process, whose
+tasks share an encoder (up to a bound of remembered units); the ids of a text
+are those of its units in order, equal to encoding the text whole.  The
+tokenizer's definition is read by the driver and broadcast.
 
 Cases: a null text is an empty one (only the end id); rows without an id take
 no part; repeated rows are records of their own, in (id, text) order; an empty
@@ -31,17 +34,21 @@ table writes no shard and reads no row; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import string
 import struct
 import uuid
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import UnitCache, cut, documents, pieces, shared_dir, text_bytes
+from clinlake.llm.common import UnitCache, cut, documents, per_worker, pieces, shared_dir, text_bytes
 
 HEAD, FOOT, META, ENTRY = "<QI", "<I", "<qIB", "<qQII"  # layouts of the parts of records and of an index entry
 HEAD_SIZE, FOOT_SIZE, META_SIZE, ENTRY_SIZE = map(struct.calcsize, (HEAD, FOOT, META, ENTRY))
@@ -82,11 +89,18 @@ def entry(doc_id: int, offset: int, n_ids: int) -> bytes:
     return head + struct.pack(FOOT, checksum(head))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI; without a scheme it lies in the cluster's default file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+    return f"file://{uri[5:]}" if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def _storage(path: str):
     """File system and path of a URI that all executors share."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}")
+    return fs.FileSystem.from_uri(path)
 
 
 # --- encoding ----------------------------------------------------------------
@@ -101,12 +115,33 @@ def _safe() -> np.ndarray:
     return safe
 
 
-def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The texts cut before every space that a surely non-space character follows; n+1 offsets of texts in units."""
+def _class(chars: bytes) -> np.ndarray:
+    is_in = np.zeros(256, bool)
+    is_in[list(chars)] = True
+    return is_in
+
+
+LETTER = _class(string.ascii_letters.encode())
+PUNCTUATION = _class(string.punctuation.encode())
+NOT_QUOTE = PUNCTUATION & ~_class(b"'")  # a letter after a quote can belong to it ("'s")
+
+
+def units(texts: pa.Array, whole: Sequence[bytes] = ()) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut where a token surely ends, but not inside the strings ``whole``; n+1 offsets of texts in units.
+
+    That is before a space that a surely non-space character follows, and between an ASCII letter and ASCII
+    punctuation."""
     data, off = text_bytes(texts)
     begins = np.zeros(len(data) + 1, bool)
     if len(data):
         begins[:-2] = (data[:-1] == 32) & _safe()[data[1:]]
+        begins[1:-1] |= (LETTER[data[:-1]] & PUNCTUATION[data[1:]]) | (NOT_QUOTE[data[:-1]] & LETTER[data[1:]])
+        raw = data.tobytes()
+        for w in whole:
+            at = raw.find(w)
+            while at >= 0:
+                begins[at + 1:at + len(w)] = False
+                at = raw.find(w, at + len(w))
     begins[off[:-1][np.diff(off) > 0]] = True
     starts = np.flatnonzero(begins[:-1])
     bounds = np.append(starts, len(data)).astype(np.int64)
@@ -122,18 +157,20 @@ class Encoder:
     them; the byte lengths of the tokens tell where a unit's ids end.  Other units are encoded alone."""
 
     JOIN = 2000
+    REMEMBERED = 600_000
 
-    def __init__(self, path: str):
+    def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(definition)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():  # one character of a byte-level token stands for one byte
             self.bytes_of[i] = len(token)
         self.safe = _safe()
-        self.cache = UnitCache(self._encode)
+        self.whole = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cache = UnitCache(self._encode, self.REMEMBERED)
 
     def _encode(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         joins = np.array([len(u) > 1 and u[0] == 32 and self.safe[u[1]] for u in new])
@@ -145,7 +182,7 @@ class Encoder:
         last = np.append(first[1:], len(new))
         texts = [b"".join(new[a:b]).decode() for a, b in zip(first, last)]
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter((i for x in ids for i in x), np.int32, sum(map(len, ids)))
+        flat = np.concatenate([np.array(x, np.int32) for x in ids])
         token_end = np.cumsum(self.bytes_of[flat])
         unit_end = np.cumsum([len(u) for u in new])
         off = np.concatenate([[0], np.searchsorted(token_end, unit_end) + 1])
@@ -155,18 +192,19 @@ class Encoder:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the n+1 offsets of texts in them."""
-        unit, off = units(texts)
+        unit, off = units(texts, self.whole)
         flat, end = self.cache.ids(unit)
         return flat, end[off]
 
 
 # --- writing -----------------------------------------------------------------
 
-def _write(folder: str, tokenizer: str, end_id: int, shard_bytes: int):
+def _write(folder: str, definition: Broadcast, digest: str, end_id: int, shard_bytes: int):
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, (store, base) = Encoder(tokenizer), _storage(folder)
+        encoder = per_worker(f"encoder:{digest}", lambda: Encoder(definition.value))
+        store, base = _storage(folder)
         task = TaskContext.get()
         name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         shard, data, index, row = 0, None, None, None
@@ -177,7 +215,7 @@ def _write(folder: str, tokenizer: str, end_id: int, shard_bytes: int):
             return pa.RecordBatch.from_pylist([row], schema=pa.schema(
                 [(c, pa.string() if c in ("path", "index") else pa.int64()) for c in row]))
 
-        for piece in pieces(batches, 1 << 20):
+        for piece in pieces(batches):
             flat, off = encoder.ids(piece.column("text"))
             for i, doc in enumerate(piece.column("doc_id").to_pylist()):
                 if data is not None and row["bytes"] >= shard_bytes:
@@ -208,13 +246,16 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: in
     Shards in the order (part, shard) hold ascending ids.  The hash of the text is part of the range key, so
     that many rows of one id spread over partitions, and a retried task writes the same records."""
     spark = docs.sparkSession
-    folder = folder or f"{shared_dir(spark)}/tokens"
+    folder = qualified(spark, folder or f"{shared_dir(spark)}/tokens")
+    with open(tokenizer, encoding="utf-8") as f:
+        text = f.read()
+    definition = spark.sparkContext.broadcast(text)  # as large as the vocabulary
     store, base = _storage(folder)
     store.create_dir(base, recursive=True)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ["doc_id", F.xxhash64("text"), "text"]
     ranged = documents(docs).repartitionByRange(n, *keys[:2]).sortWithinPartitions(*keys)
-    return cut(ranged.mapInArrow(_write(folder, tokenizer, end_id, shard_bytes), MANIFEST))
+    return cut(ranged.mapInArrow(_write(folder, definition, hashlib.sha256(text.encode()).hexdigest(), end_id, shard_bytes), MANIFEST))
 
 
 # --- reading -----------------------------------------------------------------

@@ -22,7 +22,7 @@ def library():
 
 
 def test_units_give_the_ids_of_whole_texts(library):
-    e = T.Encoder(TOKENIZER)
+    e = T.Encoder(open(TOKENIZER, encoding='utf-8').read())
     for texts in (ODD, ODD[::-1]):  # the second time from memory
         flat, off = e.ids(pa.array(texts, pa.string()))
         for i, t in enumerate(texts):
@@ -73,3 +73,17 @@ def test_damage_is_found(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert T.read(T.write(df, TOKENIZER)).collect() == []
+
+
+def test_cuts_between_letters_and_punctuation(library):
+    import itertools
+    import random
+
+    e = T.Encoder(open(TOKENIZER, encoding="utf-8").read())
+    parts = ["a", "Zq", "'", "'s", "'re", "!", "...", "<|endoftext|>", "<|", "|>", "endoftext", " ", "  ", "\n", "é", "5", "-", "_", "%%%", "日"]
+    texts = ["".join(x) for x in itertools.product(parts, repeat=3)]
+    rng = random.Random(0)
+    texts += ["".join(rng.choices(parts, k=40)) for _ in range(300)]
+    flat, off = e.ids(pa.array(texts, pa.string()))
+    for i, t in enumerate(texts):
+        assert [*flat[off[i]:off[i + 1]].tolist(), 0] == library(t), t
