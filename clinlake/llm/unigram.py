@@ -202,7 +202,7 @@ class Model:
         out, at = [], n
         while at:
             start, piece = back[at]
-            out += [piece] if piece >= 0 else [self.bytes[b] for b in reversed(data[start:at])]
+            out += [piece] if piece >= 0 else [int(self.byte_ids[b]) for b in reversed(data[start:at])]
             at = start
         return out[::-1]
 

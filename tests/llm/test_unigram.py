@@ -100,3 +100,12 @@ def test_round_trip_frames(spark, model):
     again = sorted((r.doc_id, r.text) for r in U.decode(U.encode(df, model), model).collect())
     assert again == got
     assert U.round_trip(df.limit(0), model).collect() == []
+
+
+def test_unknown_characters_without_byte_pieces():
+    model = U.Model([(U.MARK, -1.0, U.NORMAL), ("a", -1.0, U.NORMAL), (U.MARK + "a", -1.5, U.NORMAL)])
+    for text in ("aéa", "é" * 100, "a" * 70 + "é"):
+        unit = (U.MARK + text).encode()
+        ids, off = model.segment_many([unit])
+        assert ids.tolist() == model.segment(unit) and off.tolist() == [0, len(ids)]
+        assert (ids == 0).sum() >= 2  # one id 0 for each byte
