@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed clock used by tests and the oracle comparison.
@@ -24,11 +24,31 @@ DEFAULT_AS_OF = dt.date(2001, 12, 31)
 DEFAULT_RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
-def _kept(spark: SparkSession) -> dict:
+def kept(spark: SparkSession) -> dict:
     """What is defined once per session; it goes with the session object."""
     return spark.__dict__.setdefault("_clinlake", {})
 
 
+def _state(spark: SparkSession, folder: str) -> list:
+    """Names, sizes and times of a folder's files (two levels deep): whether it still is what plans were made of."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.listStatus(path):
+        inner = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        found += [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in inner]
+    return sorted(found)
+
+
+def _current(spark: SparkSession, kind: str, folder: str, more: tuple, make: Callable[[], object]):
+    """``make()``, kept per session and folder until the folder's files change."""
+    key, state = (kind, spark.sparkContext.applicationId, folder, more), _state(spark, folder)
+    notes = kept(spark)
+    if key not in notes or notes[key][0] != state:
+        notes[key] = state, make()
+    return notes[key][1]
+
+
 @dataclass
 class Context:
     spark: SparkSession
@@ -42,6 +62,10 @@ class Context:
     _guard: threading.Lock = field(default_factory=threading.Lock, repr=False)
     _path: list = field(default_factory=list, repr=False)
     _warehouse: list = field(default_factory=list, repr=False)
+    _observed: dict = field(default_factory=dict, repr=False)
+    rejected: dict[str, DataFrame] = field(default_factory=dict, repr=False)  # malformed raw rows by table
+    read_by: dict[str, list[str]] = field(default_factory=dict, repr=False)  # what each model asked for
+    _building: threading.local = field(default_factory=threading.local, repr=False)
 
     @classmethod
     def from_bench(cls, spark: SparkSession, sf_dir: str, **kw) -> Context:
@@ -53,30 +77,24 @@ class Context:
         """
         from clinlake.sources.binding import bind_raw
 
-        kept, key = _kept(spark), ("raw", spark.sparkContext.applicationId, sf_dir)
-        if key not in kept:
-            kept[key] = bind_raw(spark, sf_dir)
-        return cls(spark, dict(kept[key]), **kw)
+        return cls(spark, dict(_current(spark, "raw", sf_dir, (), lambda: bind_raw(spark, sf_dir))), **kw)
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, **kw) -> Context:
-        """One context per session, benchmark folder and clock.
+        """One context per session, benchmark folder, state of its files and clock.
 
         Its models are lazy plans, defined once and reused by every query of
         the session (each query still executes its whole plan from the
-        files).  Materialized copies (:meth:`materialized`) are private to
-        the query that makes them.
+        files).  What the quality suite wrote and found is kept with it, as
+        long as the folder's files are the same.
         """
-        kept, key = _kept(spark), ("context", spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
-        if key not in kept:
-            kept[key] = cls.from_bench(spark, sf_dir, **kw)
-        return kept[key]
+        return _current(spark, "context", sf_dir, tuple(sorted(kw.items())), lambda: cls.from_bench(spark, sf_dir, **kw))
 
     @classmethod
     def from_raw(cls, spark: SparkSession, root: str, fmt: str = "parquet", **kw) -> Context:
-        from clinlake.sources.raw import load_raw
+        from clinlake.sources.raw import load_raw, rejected_rows
 
-        return cls(spark, load_raw(spark, root, fmt), **kw)
+        return cls(spark, load_raw(spark, root, fmt), rejected=rejected_rows(spark, root, fmt), **kw)
 
     # -- clock ---------------------------------------------------------
     def as_of_col(self) -> Column:
@@ -88,13 +106,14 @@ class Context:
     # -- lineage -------------------------------------------------------
     def ref(self, model: Callable[[Context], DataFrame]) -> DataFrame:
         key = model.__name__
+        self._note(key)
         if key in self._models:
             return self._models[key]
         with self._guard:
             lock = self._locks.setdefault(key, threading.Lock())
         with lock:  # one builder per model, even when models build concurrently
             if key not in self._models:
-                df = model(self)
+                df = self.recorded(key, model)
                 if self.checkpoint_models and not getattr(model, "keep_lazy", False):
                     # a Parquet table in the shared checkpoint folder: the
                     # model is computed once, and later plans scan only the
@@ -103,12 +122,44 @@ class Context:
                     # over facts) stay lazy: recomputing them from what is
                     # already cut is cheaper than writing and re-reading a copy.
                     path = f"{self._folder()}/{key}"
-                    df.write.parquet(path)
-                    df = self.spark.read.schema(df.schema).parquet(path)
+                    df = self.observed_write(key, df, lambda d: d.write.parquet(path),
+                                             lambda schema: self.spark.read.schema(schema).parquet(path))
                     self._materialized.add(key)
                 self._models[key] = df
         return self._models[key]
 
+    def _note(self, name: str) -> None:
+        """The model being defined reads ``name``."""
+        if stack := getattr(self._building, "stack", None):
+            self.read_by.setdefault(stack[-1], []).append(name)
+
+    def recorded(self, name: str, model: Callable[[Context], DataFrame]) -> DataFrame:
+        """``model(self)``, with what it reads noted under ``name``."""
+        stack = self._building.__dict__.setdefault("stack", [])
+        stack.append(name)
+        try:
+            return model(self)
+        finally:
+            stack.pop()
+
+    def observed_write(self, name: str, df: DataFrame, write: Callable[[DataFrame], None], read: Callable) -> DataFrame:
+        """Write a model, let the write count what its row-level tests ask for, and return the written table.
+
+        A task that runs again after an executor is lost can count its rows twice, so the counts only hold if
+        their number of rows is that of the table (read from the files' footers); otherwise tests scan it."""
+        from clinlake.plans.quality import ROWS, row_metrics
+
+        seen = Observation()
+        write(df.observe(seen, *row_metrics(name)))
+        table, metrics = read(df.schema), seen.get
+        if metrics[ROWS] == table.count():
+            self._observed[name] = metrics
+        return table
+
+    def observed(self, name: str) -> dict | None:
+        """Counts that the write of a model collected (None: none, or none that hold)."""
+        return self._observed.get(name)
+
     def _folder(self) -> str:
         """This context's folder of materialized models."""
         from clinlake.session import ensure_checkpoint_dir
@@ -138,7 +189,8 @@ class Context:
         if self.checkpoint_models:
             return self
         kept = {k: v for k, v in self._models.items() if k in self._materialized}
-        return Context(self.spark, self.raw, self.as_of, self.run_ts, True, kept, set(kept))
+        return Context(self.spark, self.raw, self.as_of, self.run_ts, True, kept, set(kept),
+                       _observed=dict(self._observed), rejected=self.rejected)
 
     def once(self, name: str, build: Callable[[Context], DataFrame]) -> DataFrame:
         """``build(ctx)`` computed once for this context: a table in its folder."""
@@ -158,14 +210,15 @@ class Context:
         """Materialized context with every intermediate, mart and report model
         written, independent models concurrently.  It is made once per context,
         so the suite's queries of a session share the tables."""
-        from clinlake.plans.catalog import MODEL_LEVELS
+        from clinlake.plans.lineage import build_levels
 
         if not self._warehouse:
             ctx = self.materialized()
-            ctx.build_levels(MODEL_LEVELS, threads)
+            ctx.build_levels(build_levels(self.spark, self), threads)
             ctx._warehouse[:] = [ctx]
             self._warehouse[:] = [ctx]
         return self._warehouse[0]
 
     def source(self, name: str) -> DataFrame:
+        self._note(f"source_{name}")
         return self.raw[name]

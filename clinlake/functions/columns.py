@@ -85,35 +85,35 @@ def yes_no_from_boolean(expr: Column) -> Column:
 
 
 # Texts that the source reads as a date: ISO, optionally with a time of day
-# and zone, and its two other automatic formats.  Anything else is NULL; a
-# bare cast would also take "2020", "2020-5" or a date followed by junk.
-_TIME = r"[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2})?"
+# and zone (both must exist), and its two other automatic formats.  Anything
+# else is NULL; a bare cast would also take "2020", "2020-5" or a date followed
+# by junk.
+_TIME = r"[T ]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]{1,9})?)?(Z|[+-](0[0-9]|1[0-8]):[0-5][0-9])?"
 ISO_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(" + _TIME + ")?$"
 US_DATE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
 NAMED_MONTH = r"^([0-9]{1,2})-([A-Za-z]{3})-([0-9]{4})$"
-MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 
 
 def _iso_text(c: str | Column) -> Column:
-    """The trimmed text in ISO form, or NULL where it is in no accepted format."""
-    t = F.trim(_c(c).cast("string"))
-    part = lambda pattern, i: F.regexp_extract(t, pattern, i)
-    at = F.instr(F.lit(MONTHS), F.upper(part(NAMED_MONTH, 2)))
-    month = F.when(at % 3 == 1, ((at + 2) / 3).cast("int").cast("string"))
-    return (F.when(t.rlike(ISO_TEXT), t)
-            .when(t.rlike(US_DATE), F.concat_ws("-", part(US_DATE, 3), part(US_DATE, 1), part(US_DATE, 2)))
-            .when(t.rlike(NAMED_MONTH) & month.isNotNull(),
-                  F.concat_ws("-", part(NAMED_MONTH, 3), month, part(NAMED_MONTH, 1))))
+    """The trimmed text in ISO form, or an empty one where it is in neither of the two numeric formats.
+
+    One expression without branches: it stands wherever a parsed time is used, so it has to stay small."""
+    return F.regexp_extract(F.regexp_replace(F.trim(_c(c).cast("string")), US_DATE, "$3-$1-$2"), ISO_TEXT, 0)
+
+
+def _named_month(c: str | Column) -> Column:
+    """Text such as 2-JAN-2020 as a time, anything else as NULL."""
+    return F.try_to_timestamp(F.regexp_extract(F.initcap(F.trim(_c(c).cast("string"))), NAMED_MONTH, 0), F.lit("d-MMM-yyyy"))
 
 
 def parse_date(c: str | Column) -> Column:
     """Safe text -> date; text in no accepted format becomes NULL."""
-    return _iso_text(c).try_cast("date")
+    return F.coalesce(_iso_text(c).try_cast("date"), _named_month(c).cast("date"))
 
 
 def parse_timestamp(c: str | Column) -> Column:
     """Safe date / ISO timestamp text -> timestamp_ntz (zone suffix dropped)."""
-    return _iso_text(c).try_cast("timestamp_ntz")
+    return F.coalesce(_iso_text(c).try_cast("timestamp_ntz"), _named_month(c).cast("timestamp_ntz"))
 
 
 def digits_only(c: str | Column) -> Column:

@@ -105,7 +105,11 @@ def round2(c: Column, scale: int = 2) -> Column:
     return F.coalesce(F.round(c.try_cast("decimal(38,18)"), scale).cast("double"), c)
 
 
-def money_sum(c: str | Column) -> Column:
+MONEY = "decimal(28,10)"
+WIDE = "decimal(38,18)"
+
+
+def money_sum(c: str | Column, kind: str = MONEY) -> Column:
     """Order-independent sum of money held as double.
 
     Summing doubles depends on the order rows arrive in, which differs
@@ -114,7 +118,7 @@ def money_sum(c: str | Column) -> Column:
     decimal(28,10)); a NaN or larger value makes the sum fall back to doubles.
     """
     c = _c(c)
-    exact = c.try_cast("decimal(28,10)")
+    exact = c.try_cast(kind)
     lost = F.count(F.when(c.isNotNull() & exact.isNull(), F.lit(1)))
     return F.when(lost == 0, F.sum(exact).cast("double")).otherwise(F.sum(c))
 
@@ -122,3 +126,8 @@ def money_sum(c: str | Column) -> Column:
 def money_avg(c: str | Column) -> Column:
     c = _c(c)
     return money_sum(c) / F.nullif(F.count(c), F.lit(0))
+
+
+def exact_sum(c: str | Column) -> Column:
+    """Sum of money as a decimal, for sums that are combined further (values beyond it are an error)."""
+    return F.sum(_c(c).cast(MONEY))

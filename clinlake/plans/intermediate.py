@@ -119,6 +119,9 @@ def inpatient_discharges(ctx: Context) -> DataFrame:
                     F.col("organization_id").alias("index_organization_id")))
 
 
+inpatient_discharges.keep_lazy = True  # one model alone reads it
+
+
 def int_readmission_flags(ctx: Context) -> DataFrame:
     """One row per inpatient discharge with its first subsequent encounter.
 

@@ -10,10 +10,10 @@ from clinlake.context import Context
 from clinlake.functions.columns import yes_no_from_boolean
 from clinlake.functions.dates import CALENDAR_END, CALENDAR_GENERATED_DAYS, CALENDAR_START, calendar_attributes
 from clinlake.functions.keys import date_key, surrogate_key, ts_key_text
-from clinlake.operators.point_in_time import join_period_of_year
+from clinlake.operators.point_in_time import join_period_of_year, point_in_time_join
 from clinlake.operators.ranking import top1
 from clinlake.plans.intermediate import int_encounter_enriched, int_patient_insurance_periods, int_readmission_flags
-from clinlake.plans.staging import (stg_conditions, stg_medications, stg_organizations, stg_payers, stg_procedures,
+from clinlake.plans.staging import (stg_conditions, stg_encounters, stg_medications, stg_organizations, stg_payers, stg_procedures,
                                     stg_providers)
 
 LATEST_PERIOD = [("effective_from", "desc", "first"), ("scd2_version", "desc", "first")]
@@ -208,8 +208,24 @@ def fct_clinical_events(ctx: Context) -> DataFrame:
         _loaded(ctx))
 
 
-# projections of a source or of a checkpointed model: never worth a checkpoint
-for _fn in (dim_date, dim_patient, dim_provider, dim_organization, dim_payer):
+def encounter_active_medication(ctx: Context) -> DataFrame:
+    """Every encounter with the latest started medication that its patient takes on its start date.
+
+    Courses begin and end on any day; an open one runs to the as-of date.  Of courses begun on the same day the
+    first code wins, and of copies the one that ends last."""
+    courses = ctx.ref(stg_medications).select(
+        "patient_id", "medication_code", F.to_date("started_at").alias("medication_from"),
+        F.coalesce(F.to_date("stopped_at"), ctx.as_of_col()).alias("medication_to"))
+    visits = ctx.ref(stg_encounters).select("encounter_id", "patient_id", F.to_date("started_at").alias("encounter_date"))
+    found = point_in_time_join(visits, courses, key="patient_id", event_date=F.col("encounter_date"),
+                               valid_from="medication_from", valid_to="medication_to",
+                               latest=[("medication_from", "desc", "first"), ("medication_code", "asc", "last"), ("medication_to", "desc", "last")])
+    return found.select("encounter_id", "patient_id", "encounter_date",
+                        *[F.col(f"pit_{c}").alias(c) for c in ("medication_code", "medication_from", "medication_to")])
+
+
+# projections of a source or of a checkpointed model, and what one model alone reads: never worth a checkpoint
+for _fn in (dim_date, dim_patient, dim_provider, dim_organization, dim_payer, clinical_events_union):
     _fn.keep_lazy = True
 
 MART_MODELS = {

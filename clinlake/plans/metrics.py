@@ -7,8 +7,8 @@ dimensions (categorical, or time with a day grain); sixteen metrics are
 simple (one measure) or ratios (numerator and denominator aggregated
 separately, then divided).
 
-``metric_query`` compiles a request into one ``groupBy().agg()`` per
-semantic model:
+``metric_query`` compiles a request into one aggregation per semantic model,
+in two steps where dimensions are joined (below the join and above it):
 
 * a group-by item ``entity__dimension`` is resolved on the model itself or
   through many-to-one entity joins (a foreign entity to the model where it
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinlake.context import Context
-from clinlake.functions.dates import money_sum
+from clinlake.functions.dates import MONEY, WIDE
+from clinlake.operators.series import dense_series
 from clinlake.plans.marts import dim_organization, dim_patient, dim_payer, dim_provider, fct_encounters, fct_readmissions
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -48,6 +49,7 @@ class Measure:
     name: str
     agg: str  # count | sum | average | count_distinct
     expr: str
+    money: bool = False  # a double of at most ten decimals
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,10 @@ class SemanticModel:
     dimensions: tuple[Dimension, ...] = ()
     agg_time_dimension: str | None = None
 
+    @property
+    def is_fact(self) -> bool:
+        return self.model.__name__.startswith("fct_")
+
     @property
     def primary(self) -> Entity | None:
         return next((e for e in self.entities if e.type == "primary"), None)
@@ -100,10 +106,10 @@ SEMANTIC_MODELS: dict[str, SemanticModel] = {m.name: m for m in [
             Measure("encounter_count", "count", "encounter_id"),
             Measure("emergency_visit_count", "sum", YES_ONE.format(c="is_emergency_visit")),
             Measure("inpatient_admission_count", "sum", YES_ONE.format(c="is_inpatient")),
-            Measure("total_encounter_cost", "sum", "total_claim_cost"),
-            Measure("avg_encounter_cost", "average", "total_claim_cost"),
-            Measure("total_payer_coverage", "sum", "encounter_payer_coverage"),
-            Measure("total_patient_oop", "sum", "patient_out_of_pocket"),
+            Measure("total_encounter_cost", "sum", "total_claim_cost", money=True),
+            Measure("avg_encounter_cost", "average", "total_claim_cost", money=True),
+            Measure("total_payer_coverage", "sum", "encounter_payer_coverage", money=True),
+            Measure("total_patient_oop", "sum", "patient_out_of_pocket", money=True),
             Measure("avg_duration_hours", "average", "duration_hours"),
             Measure("payer_coverage_pct", "average",
                     "case when total_claim_cost > 0 "
@@ -240,69 +246,146 @@ def _join_path(base: SemanticModel, entity: str, max_hops: int = 2) -> list[tupl
     return None
 
 
-def _resolve(ctx: Context, base: SemanticModel, df: DataFrame, ref: str, cache: dict) -> tuple[DataFrame, Column]:
-    """Column for group-by item ``ref`` on ``base``'s rows, adding joins as needed."""
+@dataclass
+class _Item:
+    """A group-by or filter item of a query on one semantic model."""
+
+    ref: str
+    expr: str
+    hops: tuple[tuple[SemanticModel, Entity], ...]  # entity joins that lead to it
+    grain: str | None = None
+
+
+def _item(base: SemanticModel, ref: str) -> _Item:
     if ref.startswith("metric_time"):
         grain = ref.split("__", 1)[1] if "__" in ref else "day"
         if grain not in GRAINS:
             raise ValueError(f"unknown time grain {grain!r}")
-        dim = base.dimension(base.agg_time_dimension)
-        return df, F.to_date(F.date_trunc(grain, F.expr(dim.expr)))
+        return _Item(ref, base.dimension(base.agg_time_dimension).expr, (), grain)
     entity, dim_name = ref.split("__", 1)
     path = _join_path(base, entity)
     if path is None:
         raise ValueError(f"{ref!r} is not reachable from semantic model {base.name!r}")
-    if not path:
-        dim = base.dimension(dim_name)
-        if dim is None:
-            raise ValueError(f"{base.name} has no dimension {dim_name!r}")
-        return df, F.expr(dim.expr)
-    # walk the hops; each joined model's columns are namespaced by its path
-    prefix = ""
-    key_col = None
-    for i, (sm, e) in enumerate(path):
-        target = _primary_model(e.name)
-        alias = "_j_" + "__".join(x.name for _, x in path[: i + 1]) + "_"
-        fk = F.expr(e.expr) if i == 0 else F.col(f"{prefix}{e.expr}")
-        if alias not in cache:
-            t = ctx.ref(target.model)
-            t = t.select([F.col(c).alias(f"{alias}{c}") for c in t.columns])
-            df = df.join(t, fk == F.col(f"{alias}{target.primary.expr}"), "left")
-            cache[alias] = True
-        prefix = alias
-        key_col = target
-    dim = key_col.dimension(dim_name)
+    home = _primary_model(path[-1][1].name) if path else base
+    dim = home.dimension(dim_name)
     if dim is None:
-        raise ValueError(f"{key_col.name} has no dimension {dim_name!r}")
-    # re-point the dimension expression's bare column names at the joined columns
-    expr = re.sub(r"\b([a-z_][a-z0-9_]*)\b",
-                  lambda m: f"`{prefix}{m.group(1)}`" if f"{prefix}{m.group(1)}" in df.columns else m.group(1),
-                  dim.expr)
-    return df, F.expr(expr)
-
-
-def _agg(m: Measure, df: DataFrame) -> Column:
-    e = F.expr(m.expr)
-    dtype = df.select(e).schema[0].dataType
-    if m.agg == "count":
-        return F.count(e)
-    if m.agg == "count_distinct":
-        return F.countDistinct(e)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        total = money_sum(e)  # fixed-point: independent of row order
-        return total if m.agg == "sum" else total / F.nullif(F.count(e), F.lit(0))
-    return F.sum(e) if m.agg == "sum" else F.avg(e)
+        raise ValueError(f"{home.name} has no dimension {dim_name!r}")
+    return _Item(ref, dim.expr, tuple(path))
+
+
+def _alias(hops: Sequence[tuple[SemanticModel, Entity]]) -> str:
+    """Prefix of the columns that a chain of joins adds."""
+    return "".join(f"_j_{e.name}_" for _, e in hops)
+
+
+def _named(expr: str, prefix: str, columns: Sequence[str]) -> Column:
+    """An expression over a model's columns, which carry ``prefix``."""
+    found = re.sub(r"\b([a-z_][a-z0-9_]*)\b", lambda m: f"`{prefix}{m.group(1)}`" if f"{prefix}{m.group(1)}" in columns else m.group(1), expr)
+    return F.expr(found if prefix else expr)
+
+
+def _value(i: _Item, columns: Sequence[str]) -> Column:
+    c = _named(i.expr, _alias(i.hops), columns)
+    return F.to_date(F.date_trunc(i.grain, c)) if i.grain else c
+
+
+def _join(ctx: Context, df: DataFrame, hops: Sequence[tuple[SemanticModel, Entity]], foreign_key: Column) -> DataFrame:
+    """Many-to-one join of the model that the last hop leads to; its columns get the chain's prefix."""
+    target, prefix = _primary_model(hops[-1][1].name), _alias(hops)
+    t = ctx.ref(target.model)
+    t = t.select([F.col(c).alias(f"{prefix}{c}") for c in t.columns])
+    return df.join(t, foreign_key == F.col(f"{prefix}{target.primary.expr}"), "left")
+
+
+class _Aggregate:
+    """A measure as partial aggregates that can be added up, and its value from them.
+
+    Sums of doubles are sums of decimals, which do not depend on the order of rows: with ten decimals for what is
+    declared as money, with eighteen otherwise.  A value beyond them (or NaN) makes its group's sum one of doubles."""
+
+    def __init__(self, m: Measure, df: DataFrame):
+        n, e = m.name, F.expr(m.expr)
+        self.name, self.distinct = n, e if m.agg == "count_distinct" else None
+        self.parts: dict[str, Column] = {}
+        if self.distinct is not None:
+            self.value = F.col(n)
+            return
+        self.parts[f"{n}.n"] = F.count(e)
+        count = F.col(f"`{n}.n`")
+        self.value = count
+        if m.agg == "count":
+            return
+        if isinstance(df.select(e).schema[0].dataType, (T.DoubleType, T.FloatType)):
+            exact = e.try_cast(MONEY if m.money else WIDE)
+            self.parts |= {f"{n}.s": F.sum(exact), f"{n}.d": F.sum(e), f"{n}.lost": F.count(F.when(e.isNotNull() & exact.isNull(), F.lit(1)))}
+            total = F.when(F.col(f"`{n}.lost`") == 0, F.col(f"`{n}.s`").cast("double")).otherwise(F.col(f"`{n}.d`"))
+        else:
+            self.parts[f"{n}.s"] = F.sum(e)
+            total = F.col(f"`{n}.s`")
+        self.value = total if m.agg == "sum" else total.cast("double") / F.nullif(count, F.lit(0))
+
+
+def _measured(ctx: Context, sm: SemanticModel, measures: Sequence[str], keys: Sequence[str], where: str | None, where_refs: Sequence[str]) -> DataFrame:
+    """Measures of one semantic model by ``keys``.
+
+    Joins to other facts come first, on the rows.  Then the rows are aggregated by the items known so far and the
+    foreign keys that are still to be followed; the dimensions are joined to these few rows, and a second
+    aggregation adds them up.  A hot key of a dimension is thus one row per task before any join."""
+    items = [_item(sm, ref) for ref in dict.fromkeys([*keys, *where_refs])]
+    df = ctx.ref(sm.model)
+    joined: set[str] = set()
+    late: dict[str, tuple] = {}  # dimension joins by alias: their hops
+    for i in items:
+        for depth in range(1, len(i.hops) + 1):
+            hops = i.hops[:depth]
+            if _alias(hops) in joined or _alias(hops) in late:
+                continue
+            if _primary_model(hops[-1][1].name).is_fact:
+                df = _join(ctx, df, hops, _named(hops[-1][1].expr, _alias(hops[:-1]), df.columns))
+                joined.add(_alias(hops))
+            else:
+                late[_alias(hops)] = hops
+    early = [i for i in items if _alias(i.hops) not in late]
+    aggregates = [_Aggregate(_measure_home(n)[1], ctx.ref(sm.model)) for n in measures]
+    columns = df.columns
+    foreign = {f"{alias}fk": _named(hops[-1][1].expr, _alias(hops[:-1]), columns) for alias, hops in late.items()}
+    base = [F.col(c) for c in ctx.ref(sm.model).columns]
+    df = df.select(*base, *[_value(i, columns).alias(i.ref) for i in early], *[c.alias(n) for n, c in foreign.items()])
+    if where and not any(_alias(i.hops) in late for i in items if i.ref in where_refs):
+        df, where = df.filter(F.expr(where)), None
+    # a global aggregate gets a constant key so models align by equi-join
+    final_keys = [F.col(k) for k in keys] or [F.lit(1).alias("_all")]
+    distinct = [a for a in aggregates if a.distinct is not None]
+    parts = {n: c for a in aggregates for n, c in a.parts.items()}
+
+    if not late:
+        out = df.groupBy(*final_keys).agg(*[c.alias(n) for n, c in parts.items()], *[F.countDistinct(a.distinct).alias(a.name) for a in distinct])
+    else:
+        groups = [F.col(i.ref) for i in early] + [F.col(n) for n in foreign] + [a.distinct.alias(f"{a.name}.x") for a in distinct]
+        df = df.groupBy(*groups).agg(*([c.alias(n) for n, c in parts.items()] or [F.count(F.lit(1)).alias("_n")]))
+        for alias, hops in late.items():
+            df = _join(ctx, df, hops, F.col(f"{alias}fk"))
+        columns = df.columns
+        df = df.select("*", *[_value(i, columns).alias(i.ref) for i in items if i not in early])
+        if where:
+            df = df.filter(F.expr(where))
+        out = df.groupBy(*final_keys).agg(*[F.sum(F.col(f"`{n}`")).alias(n) for n in parts],
+                                          *[F.countDistinct(F.col(f"`{a.name}.x`")).alias(a.name) for a in distinct])
+    return out.select(*[F.col(k) for k in keys or ["_all"]], *[a.value.alias(a.name) for a in aggregates])
 
 
 def metric_query(ctx: Context, metrics: Sequence[str] = (), group_by: Sequence[str] = (), where: str | None = None,
                  order_by: Sequence[str] = (), limit: int | None = None,
-                 measures: Sequence[str] = ()) -> DataFrame:
+                 measures: Sequence[str] = (), spine: bool = False) -> DataFrame:
     """Compute ``metrics`` (and raw ``measures``) grouped by ``group_by``.
 
     ``where`` is a SQL predicate over group-by item names (it is applied
     before aggregation, on every semantic model involved).  ``order_by``
     items may start with ``-`` for descending.  ``limit`` keeps the first
-    rows after ordering (a top-k report).
+    rows after ordering (a top-k report).  ``spine`` returns a row for every
+    period of the calendar between the first and the last one observed, for
+    every observed group: periods without rows have zero counts and sums, and
+    NULL averages and ratios.
     """
     needed: dict[str, list[str]] = {}
     for name in [x for m in metrics for x in _metric_measures(m)] + list(measures):
@@ -312,22 +395,7 @@ def metric_query(ctx: Context, metrics: Sequence[str] = (), group_by: Sequence[s
             needed[sm.name].append(name)
     where_refs = sorted(set(re.findall(r"\b(?:metric_time|[a-z]+)__[a-z_]+\b", where or "")))
     keys = list(group_by)
-    parts = []
-    for sm_name, ms in needed.items():
-        sm = SEMANTIC_MODELS[sm_name]
-        df = ctx.ref(sm.model)
-        cache: dict = {}
-        cols = {}
-        for ref in dict.fromkeys(keys + where_refs):
-            df, c = _resolve(ctx, sm, df, ref, cache)
-            cols[ref] = c
-        base_cols = [F.col(c) for c in ctx.ref(sm.model).columns]
-        df = df.select(*base_cols, *[c.alias(r) for r, c in cols.items()])
-        if where:
-            df = df.filter(F.expr(where))
-        aggs = [_agg(_measure_home(n)[1], df).alias(n) for n in ms]
-        # a global aggregate gets a constant key so models align by equi-join
-        parts.append(df.groupBy(*(keys or [F.lit(1).alias("_all")])).agg(*aggs))
+    parts = [_measured(ctx, SEMANTIC_MODELS[sm_name], ms, keys, where, where_refs) for sm_name, ms in needed.items()]
     keys_or_all = keys or ["_all"]
     out = parts[0]
     for p in parts[1:]:
@@ -339,6 +407,8 @@ def metric_query(ctx: Context, metrics: Sequence[str] = (), group_by: Sequence[s
         out = joined.select(*[F.coalesce(out[k], p[k]).alias(k) for k in keys_or_all],
                             *[out[c] for c in out.columns if c not in keys_or_all],
                             *[p[c] for c in p.columns if c not in keys_or_all])
+    if spine:
+        out = _on_spine(out, keys, needed)
     final = [F.col(k) for k in keys]
     for name in metrics:
         final.append(_metric_value(name).alias(name))
@@ -351,6 +421,18 @@ def metric_query(ctx: Context, metrics: Sequence[str] = (), group_by: Sequence[s
     return out
 
 
+def _on_spine(out: DataFrame, keys: Sequence[str], needed: dict[str, list[str]]) -> DataFrame:
+    """The aligned measures on the dense time spine of their ``metric_time`` key."""
+    times = [k for k in keys if k.startswith("metric_time")]
+    if len(times) != 1:
+        raise ValueError("a time spine needs one metric_time item among the group-by items")
+    period, others = times[0], [k for k in keys if k != times[0]]
+    dense = dense_series(out, period, others, period.split("__", 1)[1] if "__" in period else "day")
+    zero = [n for ms in needed.values() for n in ms if _measure_home(n)[1].agg != "average"]
+    return dense.select(*keys, *[F.coalesce(F.col(n), F.lit(0).cast(t)).alias(n) if n in zero else F.col(n)
+                                 for n, t in dense.dtypes if n not in keys])
+
+
 def _metric_value(name: str) -> Column:
     m = METRICS[name]
     if m.type == "simple":
@@ -426,6 +508,12 @@ def metric_readmissions_of_payer_state(ctx: Context) -> DataFrame:
                         where="payer__state IS NOT NULL AND payer__payer_name > 'B'")
 
 
+def metric_inpatient_daily_series(ctx: Context) -> DataFrame:
+    """Inpatient days of every payer on the calendar's spine: days without admissions are rows too."""
+    return metric_query(ctx, ["total_encounters", "inpatient_admits", "total_healthcare_cost", "avg_cost_per_encounter", "ed_utilization_rate"],
+                        ["metric_time__day", "payer__payer_name"], where="encounter__care_setting = 'inpatient'", spine=True)
+
+
 METRIC_QUERIES = {
     "metric_encounters_by_month": metric_encounters_by_month,
     "metric_readmissions_by_window_year": metric_readmissions_by_window_year,
@@ -438,4 +526,5 @@ METRIC_QUERIES = {
     "metric_encounters_by_day": metric_encounters_by_day,
     "metric_cost_by_quarter": metric_cost_by_quarter,
     "metric_readmissions_of_payer_state": metric_readmissions_of_payer_state,
+    "metric_inpatient_daily_series": metric_inpatient_daily_series,
 }

@@ -3,12 +3,12 @@
 Column tests (not_null, unique, accepted_values, relationships,
 expression_is_true, each with optional ``where`` and ``warn`` severity)
 are declared per model below, exactly as the warehouse declares them.
-They are not run one query per test: every not_null / accepted_values /
-expression_is_true test of a model is folded into **one** aggregation over
-that model (one scan), ``unique`` is a partially aggregated group-by, and
-``relationships`` pre-aggregates the child keys before a left-anti join,
-so a hot key is collapsed map-side.  All results come back as one
-DataFrame; a single action runs the whole suite.
+They are not run one query per test.  Row-level tests (not_null,
+accepted_values, expression_is_true) of a model that the run writes are counted
+by the write itself (``DataFrame.observe``).  Everything else goes through one
+key ledger (:mod:`clinlake.operators.ledger`): each model is scanned once, and
+its keys, its bad values and its bad rows meet those of all other models in one
+partially aggregated shuffle.  All results come back as one DataFrame.
 
 Failure counts follow the warehouse's test semantics: not_null and
 expression_is_true count rows (NULL passes an expression), unique counts
@@ -19,11 +19,14 @@ passes), relationships counts child rows whose non-NULL value has no parent.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.context import Context
+from clinlake.operators.ledger import Entry, domain_totals, key_ledger
+from clinlake.operators.overlaps import overlap_count
 from clinlake.plans import intermediate, marts, reports, staging
 
 
@@ -218,7 +221,8 @@ DECLARED: dict[str, list] = {
 }
 
 
-def declared_tests() -> list[ColumnTest]:
+@cache
+def declared_tests() -> tuple[ColumnTest, ...]:
     out = []
     for model, columns in DECLARED.items():
         for column, tests in columns:
@@ -232,7 +236,7 @@ def declared_tests() -> list[ColumnTest]:
                 elif kind == "expression_is_true":
                     kw["expression"] = arg
                 out.append(ColumnTest(model, column, kind, **kw))
-    return out
+    return tuple(out)
 
 
 # -- model lookup --------------------------------------------------------------
@@ -259,91 +263,106 @@ def _status(failures: Column, severity: Column) -> Column:
             .otherwise(F.lit("pass")))
 
 
-def _meta(t: ColumnTest) -> list[Column]:
-    return [F.lit(t.name).alias("test_name"), F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-            F.lit(t.kind).alias("test_type"), F.lit(t.severity).alias("severity")]
+def _within(t: ColumnTest, condition: str) -> str:
+    return condition if t.where is None else f"({t.where}) AND {condition}"
 
 
-def _violation(t: ColumnTest) -> Column:
-    """Row-level predicate: this row counts as a failure of ``t``."""
-    c = F.col(t.column)
+def _violation(t: ColumnTest) -> str:
+    """SQL predicate: this row counts as a failure of ``t``."""
     if t.kind == "not_null":
-        bad = c.isNull()
-    elif t.kind == "expression_is_true":
-        bad = ~F.expr(f"`{t.column}` {t.expression}")
-    else:
-        raise ValueError(t.kind)
-    return bad if t.where is None else (F.expr(t.where) & bad)
-
-
-def _counted(row: DataFrame, tests: list[tuple[int, ColumnTest]]) -> DataFrame:
-    """One result row per test from the single row of its counts."""
-    rows = F.explode(F.array(*[F.struct(*_meta(t), F.col(f"t{i}").cast("bigint").alias("failures")) for i, t in tests]))
-    return row.select(rows.alias("r")).select("r.*")
-
-
-def _fused(df: DataFrame, tests: list[ColumnTest]) -> list[DataFrame]:
-    """All row-level tests of one model: plain conditional sums in one scan, and, in a second one, the distinct
-    (test, value) pairs of the violating rows only for ``accepted_values``."""
-    numbered = list(enumerate(tests))
-    sums = [(i, t) for i, t in numbered if t.kind != "accepted_values"]
-    accepted = [(i, t) for i, t in numbered if t.kind == "accepted_values"]
-    out = []
-    if sums:
-        out.append(_counted(df.agg(*[F.sum(F.when(_violation(t), F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(f"t{i}")
-                                     for i, t in sums]), sums))
-    if accepted:
-        def violating(t: ColumnTest) -> Column:
-            bad = F.col(t.column).isNotNull() & ~F.col(t.column).isin(list(t.values))
-            return F.expr(t.where) & bad if t.where else bad
-
-        pairs = F.array(*[F.struct(F.lit(i).alias("t"), F.when(violating(t), F.col(t.column).cast("string")).alias("v"))
-                          for i, t in accepted])
-        found = df.select(F.explode(F.filter(pairs, lambda p: p["v"].isNotNull())).alias("p")).select("p.t", "p.v").distinct()
-        out.append(_counted(found.agg(*[F.count(F.when(F.col("t") == i, F.lit(1))).alias(f"t{i}") for i, _ in accepted]), accepted))
-    return out
-
-
-def _unique(df: DataFrame, t: ColumnTest) -> DataFrame:
-    base = df if t.where is None else df.filter(F.expr(t.where))
-    dup = (base.filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
-           .filter(F.col("count") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(*_meta(t), "failures")
-
-
-def _relationships(ctx: Context, df: DataFrame, t: ColumnTest) -> DataFrame:
-    parent_model, parent_col = t.to.split(".")
-    base = df if t.where is None else df.filter(F.expr(t.where))
-    # pre-aggregate child keys: a hot key becomes one row per map task
-    child = (base.filter(F.col(t.column).isNotNull()).groupBy(F.col(t.column).alias("_k"))
-             .agg(F.count(F.lit(1)).alias("_n")))
-    # distinct parent keys, deduplicated map-side before the anti-join
-    parent = model_frame(ctx, parent_model).select(F.col(parent_col).alias("_k")).distinct()
-    orphans = child.join(parent, "_k", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures")).select(*_meta(t), "failures")
+        return _within(t, f"`{t.column}` IS NULL")
+    if t.kind == "expression_is_true":
+        return _within(t, f"NOT (`{t.column}` {t.expression})")
+    if t.kind == "accepted_values":  # NULL passes
+        values = ", ".join("'" + v.replace("'", "''") + "'" for v in t.values)
+        return _within(t, f"`{t.column}` NOT IN ({values})")
+    raise ValueError(t.kind)
+
+
+ROWS = "rows"
+
+
+def row_metrics(model: str) -> list[Column]:
+    """Metrics that the write of ``model`` collects: its rows, and those that break each of its row-level tests."""
+    tests = [t for t in declared_tests() if t.model == model and t.kind in ROW_LEVEL]
+    return [F.count(F.lit(1)).alias(ROWS), *[F.expr(f"count_if({_violation(t)})").alias(t.name) for t in tests]]
+
+
+ROW_LEVEL = ("not_null", "accepted_values", "expression_is_true")
+
+
+def _observed(ctx: Context, t: ColumnTest) -> int | None:
+    """Failures of a test known from the write of its model (None: not known).  How many values break an
+    ``accepted_values`` test is only known where no row does."""
+    metrics = ctx.observed(t.model)
+    if metrics is None or t.kind not in ROW_LEVEL or t not in declared_tests():
+        return None
+    found = metrics[t.name]
+    return found if t.kind != "accepted_values" or found == 0 else None
+
+
+def _entries(tests: dict[int, ColumnTest]) -> tuple[dict[str, list[Entry]], dict[int, tuple[int, int, str]]]:
+    """Ledger entries by model, and for each test the domain, slot and total that hold its failures."""
+    entries: dict[str, list[Entry]] = {}
+    answers: dict[int, tuple[int, int, str]] = {}
+    domains: dict[str, int] = {}  # by parent column
+    slots: dict[tuple, tuple[int, int]] = {}
+    used: dict[int, int] = {}
+    first = max(tests, default=0) + 1  # a row-level test's domain is its own number
+
+    def add(model: str, domain: int, key: str) -> tuple[int, int]:
+        slot = used[domain] = used.get(domain, -1) + 1
+        entries.setdefault(model, []).append(Entry(domain, slot, key))
+        return domain, slot
+
+    def domain_of(parent: str) -> int:
+        if parent not in domains:
+            domains[parent] = first + len(domains)
+            model, column = parent.split(".")
+            slots[parent, None] = add(model, domains[parent], f"`{column}`")
+        return domains[parent]
+
+    for i, t in tests.items():
+        key = f"`{t.column}`" if t.where is None else f"CASE WHEN {t.where} THEN `{t.column}` END"
+        if t.kind == "relationships":
+            domain = domain_of(t.to)
+            answers[i] = *add(t.model, domain, key), "orphans"
+            slots.setdefault((f"{t.model}.{t.column}", t.where), answers[i][:2])
+    for i, t in tests.items():
+        key = f"`{t.column}`" if t.where is None else f"CASE WHEN {t.where} THEN `{t.column}` END"
+        if t.kind == "unique":
+            at = f"{t.model}.{t.column}", t.where
+            if at not in slots:
+                domain = domains[f"{at[0]} where {t.where}"] = first + len(domains)
+                slots[at] = add(t.model, domain, key)
+            answers[i] = *slots[at], "repeated"
+        elif t.kind == "accepted_values":
+            answers[i] = *add(t.model, i, f"CASE WHEN {_violation(t)} THEN `{t.column}` END"), "keys"
+        elif t.kind in ROW_LEVEL:
+            answers[i] = *add(t.model, i, f"CASE WHEN {_violation(t)} THEN '' END"), "rows"
+    return entries, answers
 
 
 def column_test_results(ctx: Context, tests: list[ColumnTest] | None = None) -> DataFrame:
     ctx = ctx.materialized() if tests is not None else ctx.materialize_warehouse()
     tests = tests if tests is not None else declared_tests()
-    by_model: dict[str, list[ColumnTest]] = {}
-    for t in tests:
-        by_model.setdefault(t.model, []).append(t)
-    parts = []
-    for model, ts in by_model.items():
-        df = model_frame(ctx, model)
-        fused = [t for t in ts if t.kind in ("not_null", "accepted_values", "expression_is_true")]
-        if fused:
-            parts.extend(_fused(df, fused))
-        for t in ts:
-            if t.kind == "unique":
-                parts.append(_unique(df, t))
-            elif t.kind == "relationships":
-                parts.append(_relationships(ctx, df, t))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT_COLUMNS)
+    known = {i: n for i, t in enumerate(tests) if (n := _observed(ctx, t)) is not None}
+    entries, answers = _entries({i: t for i, t in enumerate(tests) if i not in known})
+    # one small row per test: what is known, or where in the ledger its failures are
+    names = "test_name, model, column_name, test_type, severity, known, domain, slot, total"
+    rows = [(t.name, t.model, t.column, t.kind, t.severity, known.get(i), *answers.get(i, (None, None, None))) for i, t in enumerate(tests)]
+    cell = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else f"'{v}'"
+    values = ", ".join(f"({', '.join(map(cell, r))})" for r in rows)
+    plan = ctx.spark.sql(f"SELECT test_name, model, column_name, test_type, severity, CAST(known AS BIGINT) AS known, "
+                         f"CAST(domain AS INT) AS domain, CAST(slot AS INT) AS slot, CAST(total AS STRING) AS total FROM VALUES {values} AS t({names})")
+    if not entries:
+        return plan.withColumn("failures", F.col("known")).withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT_COLUMNS)
+    totals = domain_totals(key_ledger([(model_frame(ctx, model), es) for model, es in entries.items()]))
+    found = (F.when(F.col("total") == "keys", F.col("keys")).when(F.col("total") == "rows", F.get("rows", F.col("slot")))
+             .when(F.col("total") == "repeated", F.get("repeated", F.col("slot"))).otherwise(F.get("orphans", F.col("slot"))))
+    # a domain without keys has no row
+    results = plan.join(totals, "domain", "left").withColumn("failures", F.coalesce("known", found, F.lit(0)).cast("bigint"))
+    return results.withColumn("status", _status(F.col("failures"), F.col("severity"))).select(*RESULT_COLUMNS)
 
 
 # -- singular checks (each returns its violating rows) ---------------------------
@@ -499,25 +518,6 @@ def check_rpt_readmission_rate_range(ctx: Context) -> DataFrame:
                                                         | (F.col("readmission_30day_rate_pct") > 100)))
 
 
-# models that each singular check reads, its first one being the tested one
-SINGULAR_READS = {
-    "check_stg_encounters_temporal": ["stg_encounters"],
-    "check_stg_medications_temporal": ["stg_medications"],
-    "check_stg_costs_non_negative": ["stg_encounters", "stg_medications", "stg_procedures"],
-    "check_stg_utilization_non_negative": ["stg_organizations", "stg_providers"],
-    "check_stg_payers_coverage": ["stg_payers"],
-    "check_int_insurance_effective_dates": ["int_patient_insurance_periods"],
-    "check_int_scd2_no_overlap": ["int_patient_insurance_periods"],
-    "check_int_one_current_per_patient": ["int_patient_insurance_periods"],
-    "check_int_encounter_temporal": ["int_encounter_enriched"],
-    "check_int_coverage_lte_total": ["int_encounter_enriched"],
-    "check_int_readmission_dates": ["int_readmission_flags"],
-    "check_int_readmission_flag_nesting": ["int_readmission_flags"],
-    "check_marts_encounter_costs_duration": ["fct_encounters"],
-    "check_marts_readmissions_link": ["fct_readmissions", "fct_encounters"],
-    "check_rpt_readmission_rate_range": ["rpt_readmission_rate_monthly"],
-}
-
 SINGULAR = {
     "check_stg_encounters_temporal": ("staging", check_stg_encounters_temporal),
     "check_stg_medications_temporal": ("staging", check_stg_medications_temporal),
@@ -537,11 +537,22 @@ SINGULAR = {
 }
 
 
+def count_int_scd2_no_overlap(ctx: Context) -> DataFrame:
+    """How many pairs :func:`check_int_scd2_no_overlap` has, without forming them."""
+    periods = _m(ctx, intermediate.int_patient_insurance_periods)
+    return overlap_count(periods, "patient_id", "effective_from", "effective_to", "scd2_version").select(F.col("pairs").alias("failures"))
+
+
+# checks whose failures are counted without their rows
+COUNTED = {"check_int_scd2_no_overlap": count_int_scd2_no_overlap}
+
+
 def singular_results(ctx: Context) -> DataFrame:
     ctx = ctx.materialize_warehouse()
     parts = []
     for name, (layer, fn) in SINGULAR.items():
-        parts.append(fn(ctx).agg(F.count(F.lit(1)).alias("failures")).select(
+        counted = COUNTED[name](ctx) if name in COUNTED else fn(ctx).agg(F.count(F.lit(1)).alias("failures"))
+        parts.append(counted.select(
             F.lit(name).alias("test_name"), F.lit(layer).alias("model"), F.lit(None).cast("string").alias("column_name"),
             F.lit("singular").alias("test_type"), F.lit("error").alias("severity"), "failures"))
     out = parts[0]
@@ -572,11 +583,14 @@ FRESHNESS_ERROR_DAYS = 45
 
 
 def dq_load_profile(ctx: Context) -> DataFrame:
-    """max(_loaded_at), NULL count and row count per raw table (one pass each)."""
-    parts = [ctx.source(t).agg(F.max("_loaded_at").alias("max_loaded_at"),
-                               F.count_if(F.col("_loaded_at").isNull()).alias("loaded_at_nulls"),
-                               F.count(F.lit(1)).alias("total_rows")).select(F.lit(t).alias("table_name"), "*")
-             for t in sorted(ctx.raw)]
+    """max(_loaded_at), NULL count, row count and malformed rows per raw table (one pass each)."""
+    parts = []
+    for t in sorted(ctx.raw):
+        rejected = ctx.rejected[t].agg(F.count("record").alias("n")).scalar() if t in ctx.rejected else F.lit(0).cast("bigint")
+        parts.append(ctx.source(t).agg(F.max("_loaded_at").alias("max_loaded_at"),
+                                       F.count_if(F.col("_loaded_at").isNull()).alias("loaded_at_nulls"),
+                                       F.count(F.lit(1)).alias("total_rows"))
+                     .select(F.lit(t).alias("table_name"), "*", rejected.alias("rejected_rows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

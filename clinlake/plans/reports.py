@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.context import Context
-from clinlake.functions.dates import calendar_lookup, fiscal_year, money_avg, money_sum, round2, years_crossed
+from clinlake.functions.dates import calendar_lookup, exact_sum, fiscal_year, money_avg, money_sum, round2, years_crossed
 from clinlake.functions.keys import ORPHAN_PAIR_KEY, date_from_key, date_key, surrogate_key
 from clinlake.operators.ranking import top1
 from clinlake.plans.intermediate import int_encounter_enriched, int_readmission_flags
@@ -79,6 +79,9 @@ def primary_diagnosis(ctx: Context) -> DataFrame:
     return top.select("encounter_key", F.col("clinical_description").alias("primary_diagnosis"))
 
 
+primary_diagnosis.keep_lazy = True  # one report alone reads it
+
+
 def rpt_readmission_rate_monthly(ctx: Context) -> DataFrame:
     """30-day readmission rate by discharge month x primary diagnosis x payer."""
     fe = ctx.ref(fct_encounters).select("encounter_id", "encounter_key", "payer_key")
@@ -149,25 +152,39 @@ def rpt_provider_performance(ctx: Context) -> DataFrame:
     fe = ctx.ref(fct_encounters).select(
         "encounter_id", "patient_key", "provider_key", "total_claim_cost", "encounter_payer_coverage",
         "is_emergency_visit", "is_inpatient")
+    fr = ctx.ref(fct_readmissions).select("index_encounter_id", F.col("is_30_day_readmission").alias("pr_is_30"))
+    j = fe.join(fr, fe.encounter_id == fr.index_encounter_id, "left")
+    left = F.col("index_encounter_id").isNotNull()
+    sums = {"emergency_encounters": _yes("is_emergency_visit"), "inpatient_encounters": _yes("is_inpatient"),
+            "readmission_30day_count": _yes("pr_is_30"), "total_cost": F.col("total_claim_cost"),
+            "total_payer_coverage": F.col("encounter_payer_coverage"), "_costs": F.when(F.col("total_claim_cost").isNotNull(), 1)}
+    # volume per provider key, before any dimension is joined (one row per encounter here, so plain counts of the ids);
+    # sums are kept apart for encounters with and without a discharge
+    volume = j.groupBy("provider_key").agg(
+        F.count("encounter_id").alias("total_encounters"), F.countDistinct("patient_key").alias("unique_patients"),
+        F.count("index_encounter_id").alias("inpatient_discharges"),
+        *[exact_sum(F.when(left if with_discharge else ~left, x)).alias(f"{name}_{with_discharge:d}")
+          for name, x in sums.items() for with_discharge in (False, True)])
     dpr = ctx.ref(dim_provider).select("provider_key", "provider_id", "provider_name", "provider_specialty",
                                        "organization_id")
     dorg = ctx.ref(dim_organization).select("organization_id", "organization_name", "address_city", "address_state")
-    pe = fe.join(dpr, "provider_key", "inner").join(dorg, "organization_id", "left")
-    # one row per encounter_id and per index_encounter_id: one join, and plain counts of the ids
-    fr = ctx.ref(fct_readmissions).select("index_encounter_id", F.col("is_30_day_readmission").alias("pr_is_30"))
-    j = pe.join(fr, pe.encounter_id == fr.index_encounter_id, "left")
-    total = "total_claim_cost"
-    agg = (j.groupBy("provider_key", "provider_id", "provider_name", "provider_specialty", "organization_name",
-                     "address_city", "address_state")
-           .agg(F.count("encounter_id").alias("total_encounters"),
-                F.countDistinct("patient_key").alias("unique_patients"),
-                F.sum(_yes("is_emergency_visit")).alias("emergency_encounters"),
-                F.sum(_yes("is_inpatient")).alias("inpatient_encounters"),
-                money_sum(total).alias("total_cost"),
-                round2(money_avg(total)).alias("avg_cost_per_encounter"),
-                money_sum("encounter_payer_coverage").alias("total_payer_coverage"),
-                F.count("index_encounter_id").alias("inpatient_discharges"),
-                F.sum(_yes("pr_is_30")).alias("readmission_30day_count")))
+    # dimension rows are not unique by construction: ids count once however often a provider or organization is
+    # repeated, while sums repeat with the rows of the source's joins (discharges meet the repeated rows twice)
+    attributes = ["provider_key", "provider_id", "provider_name", "provider_specialty", "organization_name", "address_city", "address_state"]
+    rows = dpr.join(dorg, "organization_id", "left").groupBy(*attributes).agg(F.count(F.lit(1)).alias("_rows"))
+    copies = dpr.join(dorg, "organization_id", "left").groupBy(F.col("provider_key").alias("_pk")).agg(F.count(F.lit(1)).alias("_all_rows"))
+    known = rows.join(copies, F.col("provider_key") == F.col("_pk")).join(volume, "provider_key")
+
+    def total(name: str) -> F.Column:
+        return F.col("_rows") * (F.coalesce(f"{name}_0", F.lit(0)) + F.col("_all_rows") * F.coalesce(f"{name}_1", F.lit(0)))
+
+    costs = F.nullif(total("_costs").cast("double"), F.lit(0.0))
+    money = lambda name: F.when(F.coalesce(f"{name}_0", f"{name}_1").isNotNull(), total(name).cast("double"))
+    agg = known.select(
+        *attributes, "total_encounters", "unique_patients", "inpatient_discharges",
+        *[total(n).cast("bigint").alias(n) for n in ("emergency_encounters", "inpatient_encounters", "readmission_30day_count")],
+        money("total_cost").alias("total_cost"), round2(money("total_cost") / costs).alias("avg_cost_per_encounter"),
+        money("total_payer_coverage").alias("total_payer_coverage"))
     rate = round2(F.lit(100.0) * F.col("readmission_30day_count").cast("double")
                   / F.nullif(F.col("inpatient_discharges").cast("double"), F.lit(0.0)))
     cpv = round2(F.col("total_cost") / F.nullif(F.col("total_encounters").cast("double"), F.lit(0.0)))
@@ -190,6 +207,9 @@ def latest_patient_versions(ctx: Context) -> DataFrame:
     return top1(ctx.ref(dim_patient), ["patient_id"], LATEST_PERIOD)
 
 
+latest_patient_versions.keep_lazy = True  # one report alone reads it
+
+
 def rpt_high_risk_patients(ctx: Context) -> DataFrame:
     """Patients scored Moderate or above.
 
@@ -214,7 +234,9 @@ def rpt_high_risk_patients(ctx: Context) -> DataFrame:
         F.countDistinct("index_encounter_id").alias("readmission_count"),
         F.max(F.when(F.col("is_30_day_readmission") == "Yes", date_key("discharge_date")))
         .alias("last_readmission_date"))
-    c = ctx.ref(stg_conditions).filter(F.col("stopped_at").isNull())
+    # open conditions, each code and description of a patient once before they are listed
+    c = (ctx.ref(stg_conditions).filter(F.col("stopped_at").isNull())
+         .groupBy("patient_id", "condition_code", "condition_description").agg(F.count(F.lit(1)).alias("_n")))
     pcc = c.groupBy("patient_id").agg(
         F.countDistinct("condition_code").alias("chronic_condition_count"),
         F.concat_ws(", ", F.sort_array(F.collect_set("condition_description"))).alias("chronic_conditions_list"))

@@ -2,8 +2,9 @@
 suite and the audit log.
 
 Staging and intermediate models stay lazy views; dimensions, facts and
-reports are written (full rebuild) to ``{out}/{layer}/{model}`` and every
-downstream model reads the written table.  Those writes are the lineage
+reports are written (full rebuild) to a build folder under ``out``, which
+readers see when it is complete, and every downstream model reads the written
+table.  Those writes are the lineage
 cuts: after an executor loss Spark recomputes from the last table, and the
 report plans are small scans of facts instead of the whole lineage.
 """
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame
 
 from clinlake.context import Context
 from clinlake.plans import audit, marts, quality, reports
-from clinlake.sources.sinks import read_table, write_bucketed_table, write_table
+from clinlake.sources import sinks
+from clinlake.sources.sinks import new_build, read_table, write_bucketed_table, write_table
 
 from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 
@@ -60,47 +62,60 @@ def bucket_count(ctx: Context) -> int:
 
 
 def build(ctx: Context, out: str, models: list[str] | None = None, database: str | None = None,
-          buckets: int | None = None, threads: int = 4) -> dict[str, str]:
+          buckets: int | None = None, threads: int = 4, publish: bool = True) -> dict[str, str]:
     """Write marts and reports in dependency order; returns model -> path.
 
-    ``buckets`` (default: from the size of the raw tables) is the bucket
-    count of the fact tables; all facts share it so their joins on the
-    bucket keys are shuffle-free.  ``database`` (default: named after
-    ``out``) holds their catalog entries, so builds to different folders
-    keep their own.  Independent models of one level are
-    written as concurrent Spark jobs from ``threads`` driver threads.
+    The tables go to a new build folder, which becomes the current one when all
+    are written (:mod:`clinlake.sources.sinks`); with ``publish=False`` the
+    caller does that.  ``buckets`` (default: from the size of the raw tables)
+    is the bucket count of the fact tables; all facts share it so their joins
+    on the bucket keys are shuffle-free.  ``database`` (default: named after
+    ``out`` and the build) holds their catalog entries, so every build keeps
+    its own.  Independent models of one level are written as concurrent Spark
+    jobs from ``threads`` driver threads.
     """
     spark = ctx.spark
     buckets = buckets or bucket_count(ctx)
-    database = database or "clinlake_" + hashlib.md5(out.rstrip("/").encode()).hexdigest()[:12]
+    name_of_build = new_build()
+    database = database or fact_database(out, name_of_build)
     paths = {}
 
     def write(layer, name, fn):
-        if name in FACT_BUCKETS:
-            path = write_bucketed_table(ctx.ref(fn), out, layer, name, database, FACT_BUCKETS[name], buckets)
-            written = spark.table(f"{database}.{name}")
-        else:
-            path = write_table(ctx.ref(fn), out, layer, name)
-            written = read_table(spark, out, layer, name)
-        ctx.use_table(fn, written)  # downstream models read the written table
-        return name, path
+        def to_table(df):
+            if name in FACT_BUCKETS:
+                paths[name] = write_bucketed_table(df, out, layer, name, name_of_build, database, FACT_BUCKETS[name], buckets)
+            else:
+                paths[name] = write_table(df, out, layer, name, name_of_build)
+
+        def written(_):
+            return spark.table(f"{database}.{name}") if name in FACT_BUCKETS else read_table(spark, out, layer, name, name_of_build)
+
+        ctx.use_table(fn, ctx.observed_write(name, ctx.ref(fn), to_table, written))  # downstream models read the written table
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         for layer, fns in LEVELS:
             todo = [(layer, n, fn) for n, fn in fns.items() if models is None or n in models]
-            paths.update(pool.map(lambda a: write(*a), todo))
+            list(pool.map(lambda a: write(*a), todo))
+    if publish:
+        sinks.publish(spark, out, name_of_build)
     return paths
 
 
+def fact_database(out: str, build: str) -> str:
+    """Catalog database of a build's bucketed facts."""
+    return "clinlake_" + hashlib.md5(f"{out.rstrip('/')}/{build}".encode()).hexdigest()[:12]
+
+
 def run_tests(ctx: Context, audit_path: str | None = None, invocation_id: str | None = None) -> DataFrame:
-    """Run every declared and singular test in one action; append the audit rows."""
+    """Run every declared and singular test in one action; put the invocation's rows in the audit log (once)."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     results = quality.column_test_results(ctx).unionByName(quality.singular_results(ctx))
     results = results.checkpoint(eager=True)  # one action runs the whole suite
     if audit_path:
-        rows = audit.audit_rows(results, invocation_id or str(uuid.uuid4()), started,
+        invocation_id = invocation_id or str(uuid.uuid4())
+        rows = audit.audit_rows(results, invocation_id, started,
                                 dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
-        audit.log_test_results(rows, audit_path)
+        audit.log_test_results(rows, audit_path, invocation_id)
     return results
 
 

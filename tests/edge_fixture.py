@@ -49,7 +49,10 @@ def raw_rows() -> dict[str, list[dict]]:
     patients += [_patient("T1", "2020-01-01 junk", first="12 main st\napt 4", last="tab\tand\rreturn"),
                  _patient("T2", "01/02/2020", first="a`b"), _patient("T3", "2-Jan-2020"), _patient("T4", "2020"),
                  _patient("T5", "2020-5"), _patient("T6", "2020-01-01Tjunk"), _patient("T7", "2020-01-02T03:04:05Z"),
-                 _patient("T8", "2-Foo-2020"), _patient("T9", "13/13/2020")]
+                 _patient("T8", "2-Foo-2020"), _patient("T9", "13/13/2020"),
+                 _patient("T10", "2020-01-01 25:99"), _patient("T11", "2020-01-01T10:00:00+25:00"),
+                 _patient("T12", "2020-01-02 23:59:59.123456+05:30"), _patient("T13", "2020-01-02 7:05"),
+                 _patient("T14", "2020-01-01 10:00:61"), _patient("T15", "2020-01-01T24:00:00")]
 
     transitions = [
         dict(patient="P1", start_year=1995, end_year=1997, payer="Y1", ownership="self"),

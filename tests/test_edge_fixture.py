@@ -20,7 +20,10 @@ RAW = [n for n in O.CTES if n.startswith("raw_")]
 
 @pytest.fixture(scope="module")
 def fx(spark):
-    frames = raw_frames(spark)
+    return fixture_of(raw_frames(spark))
+
+
+def fixture_of(frames):
     root = tempfile.mkdtemp(prefix="clinlake-edge-")
     con = duckdb.connect()
     for name, df in frames.items():
@@ -84,6 +87,7 @@ def test_cleaning_edges(spark, fx):
     assert p["T2"].first_name == "A`b"
     day = dt.date(2020, 1, 2)
     assert [p[f"T{i}"].birth_date for i in range(1, 10)] == [None, day, day, None, None, None, day, None, None]
+    assert [p[f"T{i}"].birth_date for i in range(10, 16)] == [None, None, day, day, None, None]
 
 
 def test_encounter_edges(spark, fx):
@@ -130,3 +134,20 @@ def test_report_thresholds(spark, fx):
 def test_duplicate_event_kept_once(spark, fx):
     ev = marts.fct_clinical_events(ctx_of(spark, fx[0])).filter("clinical_code = 'C1'").collect()
     assert len(ev) == 1 and ev[0].clinical_description == "Hypertension"
+
+
+def test_repeated_dimension_rows_do_not_repeat_counts(spark):
+    """A provider and an organization that stand twice in their tables: one row per provider, ids counted once."""
+    frames = raw_frames(spark)
+    single = {r.provider_id: r.total_encounters for r in reports.rpt_provider_performance(Context(spark, dict(frames))).collect()}
+    frames["providers"] = frames["providers"].unionAll(frames["providers"])
+    frames["organizations"] = frames["organizations"].unionAll(frames["organizations"].filter("id = 'O2'"))
+    _, con, oracles = fixture_of(frames)
+    df = reports.rpt_provider_performance(Context(spark, dict(frames)))
+    cur = con.execute(oracles["rpt_provider_performance"])
+    assert _bag(df.columns, df.collect()) == _bag([d[0] for d in cur.description], cur.fetchall())
+    got = by(df, "provider_id")
+    assert {k: r.total_encounters for k, r in got.items()} == single == {"S1": 25, "S2": 23, "S3": 5}
+    # sums follow the source's joins, where a discharge of a twice listed provider meets itself four times
+    assert df.count() == 3 and got["S3"].inpatient_discharges == 5 and got["S3"].readmission_30day_count == 4
+    assert (got["S3"].readmission_30day_rate_pct, got["S3"].quality_flag) == (80.0, "High Risk (Readmission)")
