@@ -105,7 +105,7 @@ parts AS (
 shaped AS (
   SELECT *, list_transform(a, lambda x: regexp_replace(regexp_replace(x, '[0-9A-Za-z]*[0-9][0-9A-Za-z]*', '#', 'g'), '[A-Za-z]+', 'a', 'g')) AS sh FROM parts),
 segs AS (
-  SELECT host, path, n, labelled, blocked, i AS depth, a[i + 1] AS literal, array_to_string(sh[1:least(i, 8)], '/') AS above, sh[i + 1] AS shape
+  SELECT host, path, n, labelled, blocked, i AS depth, a[i + 1] AS literal, array_to_string(sh[1:i], '/') AS above, sh[i + 1] AS shape
   FROM (SELECT *, unnest(range(len(a))) AS i FROM shaped)),
 child AS (
   SELECT host, depth, above, shape, literal, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked
@@ -118,15 +118,15 @@ kept AS (
   WHERE n >= 5 AND n >= 0.01::DOUBLE * nn AND labelled > 0
     AND (blocked - labelled * rate) * (blocked - labelled * rate) > 3.84::DOUBLE * labelled * rate * (1 - rate)),
 ways AS (
-  SELECT host, path, any_value(segs.labelled) AS labelled, any_value(segs.blocked) AS blocked,
+  SELECT host, path, any_value(segs.n) AS n, any_value(segs.labelled) AS labelled, any_value(segs.blocked) AS blocked,
          '/' || string_agg(CASE WHEN keep THEN literal ELSE '*' END, '/' ORDER BY depth) AS template
   FROM segs LEFT JOIN kept USING (host, depth, above, shape, literal) GROUP BY host, path),
 base AS (SELECT (coalesce(sum(blocked), 0) + 1)::DOUBLE / (coalesce(sum(labelled), 0) + 2) AS g FROM paths),
 hosts AS (SELECT host, (sum(blocked) + 2 * any_value(g)) / (sum(labelled) + 2) AS prior FROM paths, base GROUP BY host),
 bad AS (
   SELECT host, template, true AS bad
-  FROM (SELECT host, template, sum(labelled) AS l, sum(blocked) AS b FROM ways GROUP BY host, template) JOIN hosts USING (host)
-  WHERE l >= 3 AND (b + 4 * prior) / (l + 4) >= 0.8)
+  FROM (SELECT host, template, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b FROM ways GROUP BY host, template) JOIN hosts USING (host)
+  WHERE l >= 3 AND l >= 0.1::DOUBLE * n AND (b + 4 * prior) / (l + 4) >= 0.8)
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict, template
 FROM r JOIN ways USING (host, path) LEFT JOIN bad USING (host, template)
 """

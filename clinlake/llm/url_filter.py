@@ -14,13 +14,16 @@ Only DataFrame functions are used.
    blocked share, one degree of freedom); all other branches are variable or
    statistically similar and merge into the wildcard ``*``.
 4. A template (host and generalised path) is rejected if at least
-   ``min_labelled`` rows are labelled and its blocked share, smoothed towards
-   its host's and that towards the whole table's, reaches ``purity``.
+   ``min_labelled`` rows and ``min_labelled_share`` of its rows are labelled
+   and its blocked share, smoothed towards its host's and that towards the
+   whole table's, reaches ``purity``.  The share is the evidence that the
+   branches merged into it are alike: where most rows say nothing (4 blocked
+   pages beside 100 unlabelled ones), none of them is rejected for the few.
 
 Everything is counted over all rows; hot hosts and paths are pre-aggregated
 before each exchange, and no group is gathered (a path's own segments apart).
-Shapes of segments above the eighth tell nodes apart only by depth and those
-eight, which bounds the key of a very long path.
+The shapes above a node are known by a 128-bit hash, so a node's key has one
+size whatever the length of the path, and no two nodes share counts.
 
 Cases: a null URL or one without ``://`` has an empty host and path; null
 page ids and repeated rows are judged each; without labels nothing is rejected
@@ -39,7 +42,6 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
          ("com/de/", "block"))
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PARENTS = 8
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,7 @@ class Settings:
     host_weight: float = 2.0
     template_weight: float = 4.0
     min_labelled: int = 3
+    min_labelled_share: float = 0.1
     purity: float = 0.8
 
 
@@ -92,7 +95,7 @@ def path_counts(pages: DataFrame) -> DataFrame:
 def segments(paths: DataFrame) -> DataFrame:
     """One row per segment of a path: its node (host, depth, above, shape) and literal."""
     split = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
-    above = F.array_join(F.slice("shapes", 1, F.least(F.col("depth"), F.lit(PARENTS))), "/")
+    above = F.md5(F.array_join(F.slice("shapes", 1, F.col("depth")), "/").cast("binary"))
     return paths.withColumn("parts", split).withColumn("shapes", F.transform("parts", shape)).select(
         "host", "path", "n", "labelled", "blocked", "shapes", F.posexplode("parts").alias("depth", "literal")).select(
         "host", "path", "n", "labelled", "blocked", "depth", "literal", above.alias("above"), shape(F.col("literal")).alias("shape"))
@@ -127,11 +130,13 @@ def rejected(paths: DataFrame, ways: DataFrame, s: Settings) -> DataFrame:
     """host and template of the rejected templates."""
     total = paths.agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).first()  # one row
     base = ((total.b or 0) + 1) / ((total.l or 0) + 2)
-    by_template = ways.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    by_template = ways.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"),
+                                                       F.sum("blocked").alias("blocked"))
     hosts = paths.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("blocked").alias("host_blocked"))
     prior = (F.col("host_blocked") + F.lit(s.host_weight) * F.lit(base)) / (F.col("host_labelled") + F.lit(s.host_weight))
     share = (F.col("blocked") + F.lit(s.template_weight) * prior) / (F.col("labelled") + F.lit(s.template_weight))
-    return by_template.filter(F.col("labelled") >= s.min_labelled).join(hosts, "host").filter(share >= s.purity).select(
+    evident = (F.col("labelled") >= s.min_labelled) & (F.col("labelled") >= F.lit(s.min_labelled_share) * F.col("n"))
+    return by_template.filter(evident).join(hosts, "host").filter(share >= s.purity).select(
         "host", "template", F.lit(True).alias("bad"))
 
 

@@ -59,3 +59,10 @@ def test_stops_only_on_proof():
         assert set(best) <= found
         left.append(len(found))
     assert np.mean(left) < 400
+
+
+def test_components_that_overflow(spark):
+    rows_ = [(i, [1e308 * (1 if i % 3 else -1), 1.0]) for i in range(0, 200, 10)] + [(i, [0.5, 0.25]) for i in range(1, 9)]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
+    got = T.top_k(df.filter("vec_id % 50 = 0"), df).collect()
+    assert len(got) == 20 and max(r.score for r in got) == (1 << 63) - 1

@@ -50,3 +50,25 @@ def test_only_dataframe_functions(spark):
     df = spark.createDataFrame([(1, "http://a.net/x/1")], "page_id long, url string")
     plan = U.verdicts(df)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+def test_few_labels_do_not_reject_many_unlabelled_pages(spark):
+    """4 pages under /de/ (blocked by rule) beside 100 under /en/ and /es/: only the 4 are blocked."""
+    pages = [(i, f"http://one.com/de/{i}") for i in range(4)]
+    pages += [(10 + i, f"http://one.com/{'en' if i % 2 else 'es'}/{i}") for i in range(100)]
+    # half of another host's pages are labelled: the template is known well enough
+    pages += [(200 + i, f"http://two.com/{'de' if i % 2 else 'en'}/{i}") for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.verdicts(df).collect()}
+    assert all(got[i] == "block" for i in range(4)) and all(got[10 + i] == "allow" for i in range(100))
+    assert all(got[200 + i] == "block" for i in range(40))
+    t = pa.table({"page_id": pa.array([x[0] for x in pages], pa.int64()), "url": pa.array([x[1] for x in pages])})
+    assert rows(U.verdicts(df)) == duck(sql.OP5, pages=t)
+
+
+def test_nodes_of_deep_paths_are_told_apart(spark):
+    """Paths that are alike for eight segments, and differ in shape after them, have nodes of their own."""
+    paths = [f"/{'a/' * 8}{x}/p/{'b/' * 30}z" for x in ("x", "7", "y", "x-x")]
+    df = spark.createDataFrame([("deep.net", p, 1, 0, 0) for p in paths], "host string, path string, n long, labelled long, blocked long")
+    nodes = U.segments(df).filter("depth = 20").select("above").distinct().collect()
+    assert len(nodes) == 3 and all(len(r.above) == 32 for r in nodes)
