@@ -83,10 +83,10 @@ def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     return docs.join(gone.toDF(other).hint("merge"), docs[key] == F.col(other), "left_anti").drop(key)
 
 
-def documents(df: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id (long) and text (string) columns of ``df`` (and ``keep``); rows without an id take no part."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                     *keep).filter(F.col("doc_id").isNotNull())
+def documents(df: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
+    """The id (long) and text (string) columns of ``df`` (and ``keep``); rows without an id only take part with ``every``."""
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    return rows if every else rows.filter(F.col("doc_id").isNotNull())
 
 
 def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:

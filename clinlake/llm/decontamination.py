@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import (Rolling, WordArray, ascii_lower_map, covered, documents, in_pieces, mix,
+from clinlake.llm.common import (Rolling, WordArray, ascii_lower_map, covered, documents, in_pieces, keyed, mix,
                                  sliding_argmin)
 
 WINDOW, K = 10, 4
@@ -218,6 +218,7 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` (all columns) in which no benchmark window occurs."""
-    bad = contamination(docs, benchmark, window).filter(F.size("hits") > 0).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
+    """The rows of ``docs`` (all columns) in which no benchmark window occurs, each judged by itself."""
+    rows, key = keyed(docs)
+    bad = contamination(rows.select(F.col(key).alias("doc_id"), "text"), benchmark, window).filter(F.size("hits") > 0).select("doc_id")
+    return without(rows, key, bad)

@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import Rolling, WordArray, ascii_lower_map, cut, documents, gather, in_pieces, mix, signed
+from clinlake.llm.common import (Rolling, WordArray, ascii_lower_map, cut, documents, gather, in_pieces, keyed, mix, signed,
+                                 without)
 from clinlake.llm.components import components
 
 ROWS = 4
@@ -364,6 +365,14 @@ def near_duplicates(docs: DataFrame, threshold: float | Fraction = 0.8, shingle:
 
 
 def first_copies(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` (all columns) without the documents that another of their group represents."""
-    gone = near_duplicates(docs, **settings).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` (all columns) without those that another one of their group represents.
+
+    Of each group one row stays: one with the smallest id, or with none if no row of the group has an id."""
+    rows, key = keyed(docs)
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), **settings)
+    ids = rows.select(F.col(key).alias("r"), F.col("doc_id").cast("long").alias("i"))
+    in_order = F.struct(F.col("i").isNull().alias("last"), "i", "r")
+    firsts = (found.filter("n_shingles > 0").join(ids.hint("merge"), F.col("doc_id") == F.col("r")).groupBy("component_id")
+              .agg(F.min(in_order)["r"].alias("first")))
+    gone = (found.filter("n_shingles > 0").join(firsts, "component_id").filter("doc_id <> first").select("doc_id"))
+    return without(rows, key, gone)

@@ -6,15 +6,17 @@
    ``id=12345678`` or JSON), and before each of them the lexical contexts: the
    two words before it, and the cue word right before it with its punctuation
    (``id:``).  In the word that holds the run, the parts between bounding
-   characters count as words; a word of more than 40 characters is marked.
+   characters count as words; a word of more than 40 characters stands as its
+   hash.
 2. Spark builds the pattern-instance graph, one edge per distinct pair of
-   context pattern and identifier, and scores it in ``rounds``: a pattern's
+   context pattern and identifier, and scores it in rounds: a pattern's
    score is the mean score of its instances, damped for few ones; an
    identifier's is the noisy-or of its patterns' scores; seeds keep 1.
 3. A pattern counts in a round if at least ``support`` distinct instances
    score ``instance_score`` or more by then, seeds and learnt identifiers
    alike, so each round reaches patterns one hop further from the seeds.
-   Patterns that reach ``pattern_score`` are trusted, and an identifier of
+   Rounds go on until the trusted patterns and the sure identifiers are those
+   of the round before.  Patterns that reach ``pattern_score`` are trusted, and an identifier of
    score ``instance_score`` or more is extracted wherever a trusted pattern
    precedes it (kind ``context``).
 
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import cut, documents, in_pieces
+from clinlake.llm.common import cut, documents, free_name, in_pieces
 
 KINDS = ("email", "ip", "card", "phone", "context")  # in the order of reports
 
@@ -57,7 +59,7 @@ CANDIDATE = (rf"(?<![^{BOUND}])(?:(?:[0-9]{{1,3}}(?:[:,'\xa0\u2009\u202f][0-9]{{
 EDGE = "\"'`.,;:!?()[]{}<>#$%&*=|"
 WORD_EDGE = EDGE + "-"
 CUES = ":#=|"
-MAX_CONTEXT_WORD = 40  # longer words stand as one mark in a pattern
+MAX_CONTEXT_WORD = 40  # longer words stand as their hash in a pattern
 MAX_KEY = 64  # longer identifiers are known by their hash
 
 
@@ -123,10 +125,10 @@ class Contexts:
         return self.cut[i]
 
     def name(self, start: int, end: int) -> str:
-        if end - start > MAX_CONTEXT_WORD:
-            return "<long>"
         w = self.text[start:end].lower()
-        return "<number>" if any(c.isdigit() for c in w) else w
+        if any(c.isdigit() for c in w):
+            return "<number>"
+        return w if len(w) <= MAX_CONTEXT_WORD else "#" + hashlib.sha256(w.encode()).hexdigest()
 
     def word(self, i: int) -> str:
         start, end = self.words[i]
@@ -212,31 +214,42 @@ def pattern_scores(edges: DataFrame, instances: DataFrame, instance_score: float
         F.sum((F.col("score") >= instance_score).cast("int")).alias("sure"))
 
 
-def bootstrap(edges: DataFrame, rounds: int, support: int, instance_score: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """Scores of patterns and of identifiers after ``rounds`` over the graph of distinct (pattern, instance, seed) edges.
+def _crossed(scored: DataFrame, name: str, score: str, threshold: float) -> tuple:
+    """Which rows reach the threshold: their number and the sum of their hashes (two numbers, whatever the input)."""
+    return tuple(scored.filter(F.col(score) >= threshold).agg(F.count(F.lit(1)), F.sum(F.xxhash64(name).cast("decimal(38,0)"))).first())
 
-    Instances of score ``instance_score`` or more support a pattern; at 1 these are the seeds."""
+
+def bootstrap(edges: DataFrame, support: int, instance_score: float = 1.0, pattern_score: float = 1.0,
+              rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Scores of patterns and of identifiers over the graph of distinct (pattern, instance, seed) edges.
+
+    Instances of score ``instance_score`` or more support a pattern; at 1 these are the seeds.  Scores never fall from
+    one round to the next.  Rounds end when no pattern and no identifier crosses its threshold any more (or after
+    ``rounds``)."""
     instances = cut(edges.groupBy("instance").agg(F.max("seed").alias("seed")).withColumn(
         "score", F.col("seed").cast("double")))
-    patterns = None
-    for _ in range(rounds):
+    patterns, state, done = None, None, 0
+    while done != rounds:
         patterns = cut(pattern_scores(edges.drop("seed"), instances, instance_score).filter(F.col("sure") >= support))
         # noisy-or: 1 - prod(1 - score), with scores kept below 1
         log = F.log1p(-F.least(F.col("pattern_score"), F.lit(1 - 1e-9)))
         learnt = edges.join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(log))).alias("learnt"))
         instances = cut(instances.join(learnt, "instance", "left").select(
             "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("learnt", F.lit(0.0))).alias("score")))
+        done += 1
+        last, state = state, (_crossed(patterns, "pattern", "pattern_score", pattern_score), _crossed(instances, "instance", "score", instance_score))
+        if rounds is None and state == last:
+            break
     return patterns, instances
 
 
-def private_spans(docs: DataFrame, rounds: int = 3, support: int = 3, pattern_score: float = 0.7,
-                  instance_score: float = 0.7) -> DataFrame:
+def private_spans(docs: DataFrame, support: int = 3, pattern_score: float = 0.7, instance_score: float = 0.7) -> DataFrame:
     """doc_id, text_hash and spans of every document, by kind and start."""
     scanned = cut(scan(docs).withColumn("row", F.monotonically_increasing_id()))
     found = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
     edges = cut(found.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy(
         "pattern", "instance").agg(F.max("seed").alias("seed")))
-    patterns, instances = bootstrap(edges, rounds, support, instance_score)
+    patterns, instances = bootstrap(edges, support, instance_score, pattern_score)
     trusted = patterns.filter(F.col("pattern_score") >= pattern_score).select("pattern")
     known = instances.filter(F.col("score") >= instance_score).select("instance")
     new = found.filter(~F.col("seed")).select("row", F.explode("patterns").alias("pattern"), "instance", "start", "end").join(
@@ -274,18 +287,21 @@ def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
 def redact(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` (all columns) with personal data masked in ``text``; ``n_chars``, where present, follows the new text.
 
-    Spans of the fixed kinds are found again by the masking task; only documents with further (context) spans are
-    looked up, by id and hash of the text."""
+    Spans of the fixed kinds are found again by the masking task; only texts with further (context) spans are
+    looked up, by their hash.  Rows without an id are masked like others."""
     def is_new(s):
         return s["kind"] == KINDS[-1]
 
-    more = cut(private_spans(docs, **settings).filter(F.exists("spans", is_new)).select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.filter("spans", is_new).alias("_more")).distinct())
+    # spans depend on the text and on what is learnt from all documents, so equal texts have equal ones
+    text, found, of = F.col("text").cast("string"), free_name(docs, "_more"), free_name(docs, "_hash")
+    one = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+    known = docs.select(one.alias("doc_id"), text.alias("text"))
+    more = cut(private_spans(known, **settings).filter(F.exists("spans", is_new)).groupBy("doc_id", "text_hash").agg(
+        F.first(F.filter("spans", is_new)).alias(found)).select(F.struct("doc_id", "text_hash").alias(of), found))
     if more.isEmpty():
-        rows = docs.withColumn("_more", F.lit(None).cast(SPANS))
+        rows = docs.withColumn(found, F.lit(None).cast(SPANS))
     else:
-        rows = docs.join(more, (F.col("doc_id").cast("long") == F.col("_doc")) & (
-            F.xxhash64(F.col("text").cast("string")) == F.col("_hash")), "left").drop("_doc", "_hash")
+        rows = docs.join(more, (one == F.col(of)["doc_id"]) & (F.xxhash64(text) == F.col(of)["text_hash"]), "left").drop(of)
     names = docs.columns
 
     def run(batches):
@@ -293,7 +309,7 @@ def redact(docs: DataFrame, **settings) -> DataFrame:
 
         def one(piece: pa.RecordBatch) -> pa.RecordBatch:
             texts = []
-            for text, more_spans in zip(piece.column("text").to_pylist(), piece.column("_more").to_pylist()):
+            for text, more_spans in zip(piece.column("text").to_pylist(), piece.column(found).to_pylist()):
                 spans = [(a, b, KINDS[k]) for k, a, b in seeds(text, compiled)] if text else []
                 spans += [(s["start"], s["end"], s["kind"]) for s in more_spans or ()]
                 texts.append(masked(text, spans) if spans else text)

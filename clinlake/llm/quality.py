@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import WordArray, cut, documents, in_pieces, text_bytes
+from clinlake.llm.common import WordArray, cut, documents, free_name, in_pieces, pieces, text_bytes
 
 FEATURES = ("log_bytes", "log_words", "mean_word", "upper", "digit", "space", "newline", "punct", "symbol", "pipe",
             "bang", "non_ascii", "marked_words", "upper_words", "single_words", "long_words", "repeated_words",
@@ -253,10 +253,11 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def good_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` (all columns) whose score reaches the threshold; the text travels through the tasks, not a shuffle."""
+    name = free_name(docs, "_text")
+
     def run(batches):
-        from clinlake.llm.common import pieces
-        for piece in pieces(batches, column="_text"):
-            keep = model.score(statistics(piece.column("_text"))) >= threshold
-            yield piece.filter(pa.array(keep)).drop_columns(["_text"])
+        for piece in pieces(batches, column=name):
+            keep = model.score(statistics(piece.column(name))) >= threshold
+            yield piece.filter(pa.array(keep)).drop_columns([name])
 
-    return docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+    return docs.withColumn(name, F.col("text").cast("string")).mapInArrow(run, docs.schema)

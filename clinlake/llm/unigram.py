@@ -386,8 +386,9 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
-def round_trip(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, ids and text, where the ids of each text are decoded again in the same task."""
+def round_trip(docs: DataFrame, model: Model, every: bool = False) -> DataFrame:
+    """doc_id, ids and text, where the ids of each text are decoded again in the same task (``every``: also of rows
+    without an id)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -400,4 +401,4 @@ def round_trip(docs: DataFrame, model: Model) -> DataFrame:
 
         return in_pieces(batches, one)
 
-    return documents(docs).mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return documents(docs, every=every).mapInArrow(run, "doc_id long, ids array<int>, text string")

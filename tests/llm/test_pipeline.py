@@ -90,3 +90,50 @@ def test_empty_documents(spark):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+CLASHES = ["_text", "_gone", "_bad", "_more", "_doc", "_hash", "_row", "keep", "cluster", "id", "component_id"]
+
+
+def odd_documents(spark):
+    """Documents without an id, with repeated ids, and with columns that operators might use."""
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long), (1, long), (None, long + " tail"), (2, "mail me: someone@mail.com please"), (None, "mail me: other@mail.com please"),
+            (3, None), (None, None), (4, ""), (5, "other text of five words here"), (None, "other text of five words here")]
+    names = ", ".join(f"{c} string" for c in CLASHES)
+    return spark.createDataFrame([(*x, *[f"{c}{i}" for c in CLASHES]) for i, x in enumerate(rows)], f"doc_id long, text string, {names}").repartition(3)
+
+
+def test_stages_keep_odd_rows_and_other_columns(spark):
+    from clinlake.llm import decontamination, near_duplicates, private_data, quality
+
+    docs = odd_documents(spark)
+    rows = sorted(map(repr, docs.collect()))
+    bench = spark.createDataFrame([("b1", "mail me other mail com please")], "item_id string, text string")
+
+    firsts = near_duplicates.first_copies(docs, threshold=0.8)
+    assert firsts.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in firsts.collect()]
+    assert sorted(map(repr, firsts.collect())) == sorted(x for x in rows if x in set(map(repr, firsts.collect())))
+    assert sum(t is not None and t.startswith("word0") for _, t in kept) == 1 and (5, "other text of five words here") in kept
+    assert (None, "other text of five words here") not in kept and len(kept) == 10 - 2 - 1
+
+    clean = decontamination.clean(docs, bench).collect()
+    assert sorted(map(repr, clean)) == [x for x in rows if "other@mail" not in x]
+
+    masked = private_data.redact(docs)
+    assert masked.columns == docs.columns
+    by_key = {r._gone: r for r in docs.collect()}
+    for r in masked.collect():
+        assert all(r[c] == by_key[r._gone][c] for c in CLASHES) and r.doc_id == by_key[r._gone].doc_id and "@" not in (r.text or "")
+
+    labels = spark.createDataFrame([(1, 1), (2, 0), (5, 1)], "doc_id long, quality int")
+    model = quality.fit(quality.training_rows(docs, labels))
+    good = quality.good_documents(docs, model, threshold=0.0)
+    assert sorted(map(repr, good.collect())) == rows
+
+
+def test_last_stage_encodes_rows_without_an_id(spark):
+    docs = odd_documents(spark).select("doc_id", "text")
+    got = C.sentencepiece_stage(spark, docs, SF).collect()
+    assert sorted((repr(r.doc_id), r.text) for r in got) == sorted((repr(r.doc_id), r.text or "") for r in docs.collect())
