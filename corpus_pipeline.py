@@ -11,10 +11,9 @@ last return the columns of ``documents``:
 4. ``private_data``: personal data is masked in the text.
 5. ``sentencepiece``: the text is encoded, and decoded again from its ids.
 
-Cases: the operators' own (see their modules).  A document without an id is
-judged by its quality and masked like any other; it cannot be told apart from
-others, so stages 2 and 3 let it pass, and the last one, whose rows are known
-by their ids, leaves it out.  An empty table passes through.
+Cases: the operators' own (see their modules).  Rows without an id, and rows
+that repeat one, are judged, kept, masked and encoded each by itself.  An empty
+table passes through.
 """
 
 from __future__ import annotations
@@ -46,7 +45,7 @@ def private_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = unigram.Model.load(tokenizer_file("piece_bpe_32k.model"))
-    return unigram.round_trip(docs, model).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "text")
+    return unigram.round_trip(docs, model, every=True).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "text")
 
 
 STAGES = [
