@@ -20,8 +20,8 @@ Cases: rows whose id or vector is null, or with a null or non-finite
 component, take no part; vectors of different lengths count as padded with
 zeros; candidates are all rows with another id than the query's; repeated
 rows are candidates as often as they occur, and equal queries search once;
-scores beyond 64 bits are held at its limits, as are components that are
-not finite once scaled (1e308, say, counts as the largest double); ties go to the smaller id; an
+scores beyond 64 bits are held at its limits, and scaled components beyond
+1e150 at that; ties go to the smaller id; an
 empty table gives no rows.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from clinlake.llm.common import cut
 
 SCALE = 256
-HUGE = np.finfo(np.float64).max
+HUGE = 1e150  # products of two, and sums of those, are still doubles
 
 
 def vectors(df: DataFrame) -> DataFrame:
@@ -49,8 +49,7 @@ def vectors(df: DataFrame) -> DataFrame:
 def integers(lists: pa.Array, dim: int) -> np.ndarray:
     """floor(256 x) of each row, as whole doubles, padded with zeros to ``dim``."""
     with np.errstate(over="ignore"):
-        values = np.floor(SCALE * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
-    values = np.clip(values, -HUGE, HUGE)
+        values = np.floor(SCALE * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)).clip(-HUGE, HUGE)
     size = np.diff(lists.offsets.to_numpy())
     out = np.zeros((len(size), max(dim, int(size.max(initial=0)))))
     out[np.repeat(np.arange(len(size)), size), np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)] = values
