@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.llm.common import (Rolling, WordArray, ascii_lower_map, covered, documents, in_pieces, keyed, mix,
-                                 sliding_argmin)
+                                 sliding_argmin, without)
 
 WINDOW, K = 10, 4
 BASE2 = 0xD6E8FEB86659FD93

@@ -302,6 +302,8 @@ def exact_links(ids: list[int], sets: list[np.ndarray], threshold: Fraction) ->
     off = np.concatenate([[0], np.cumsum(size)])
     labels, out = np.arange(m), []
     for i in range(m):
+        if (labels == labels[0]).all():
+            break  # all are one tree: further links tell nothing
         g = gram[off[i]:off[i + 1]]
         g = g[length[g] > 1]
         if not len(g):
@@ -344,7 +346,7 @@ def confirmed(docs: DataFrame, clusters: DataFrame, plan: Plan, cluster: int, cl
 
 
 def near_duplicates(docs: DataFrame, threshold: float | Fraction = 0.8, shingle: int = 5, miss: float = 1e-8,
-                    bucket: int = 2048, cluster: int = 4096, cluster_shingles: int = 4_000_000) -> DataFrame:
+                    bucket: int = 2048, cluster: int = 512, cluster_shingles: int = 4_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept (its own) of every document."""
     plan = Plan.of(Fraction(threshold).limit_denominator(1000), shingle, miss)
     rows = documents(docs)

@@ -231,24 +231,29 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn=None) -> DataFrame:
-    """(x, y) of the labelled documents for which ``learn`` holds (a condition on doc_id).
+    """(x, y) of the labelled documents for which ``learn`` holds (a condition on doc_id)."""
+    return labelled(feature_table(docs), labels, learn)
+
+
+def labelled(x: DataFrame, labels: DataFrame, learn=None) -> DataFrame:
+    """(x, y) of the labelled rows of a feature table.
 
     The statistics (some bytes a document) are joined with the labels, not the texts."""
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).filter(
         "doc_id is not null and y is not null")
-    x = feature_table(docs)
     if learn is not None:
         x, y = x.filter(learn(F.col("doc_id"))), y.filter(learn(F.col("doc_id")))
     return x.join(y, "doc_id").select("x", "y")
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of each document."""
-    def one(piece: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(model.score(statistics(piece.column("text"))))],
-                                          ["doc_id", "score"])
+def scores(features: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score of each row of a feature table."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(model.score(_matrix(b)))], ["doc_id", "score"])
 
-    return documents(docs).mapInArrow(lambda b: in_pieces(b, one), "doc_id long, score double")
+    return features.mapInArrow(run, "doc_id long, score double")
 
 
 def good_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clinlake.llm import (centroids, decontamination, fill_in_middle, html_text, near_duplicates, private_data, quality, secrets, sql,
                           substrings, token_files, topk, unigram, url_filter)
-from clinlake.llm.common import table
+from clinlake.llm.common import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,9 +33,9 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels"), lambda i: ~quality.held_out(i)))
-    return quality.scores(docs, model).select(
+    features = cut(quality.feature_table(table(spark, sf_dir, "documents")))  # the texts are read once
+    model = quality.fit(quality.labelled(features, table(spark, sf_dir, "labels"), lambda i: ~quality.held_out(i)))
+    return quality.scores(features, model).select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 

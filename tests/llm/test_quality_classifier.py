@@ -60,7 +60,7 @@ def test_statistics_of_odd_texts():
 def test_few_or_no_labels(spark, labels):
     docs = spark.createDataFrame([(1, "a b", 2), (1, "a b", 2), (2, None, 2), (None, "c", 2)], "doc_id long, text string, score int")
     lab = spark.createDataFrame(labels, "doc_id long, quality int")
-    rows = Q.scores(docs, Q.fit(Q.training_rows(docs, lab))).collect()
+    rows = Q.scores(Q.feature_table(docs), Q.fit(Q.training_rows(docs, lab))).collect()
     assert sorted(r.doc_id for r in rows) == [1, 1, 2] and all(0 <= r.score <= 1 for r in rows)
     assert Q.good_documents(docs, Q.fit(Q.training_rows(docs, lab))).columns == docs.columns
 
@@ -68,4 +68,30 @@ def test_few_or_no_labels(spark, labels):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     lab = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
-    assert Q.scores(docs, Q.fit(Q.training_rows(docs, lab))).collect() == []
+    assert Q.scores(Q.feature_table(docs), Q.fit(Q.training_rows(docs, lab))).collect() == []
+
+
+def test_fit_equals_a_dense_one(spark):
+    """The summed normal equations and the bins give what one process computes on all rows at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(7)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    features = Q.feature_table(docs)
+    model = Q.fit(Q.labelled(features, labels), dim=32, ridge=1e-2, bins=64, seed=3)
+    rows = Q.labelled(features, labels).collect()
+    x, y = np.array([r.x for r in rows]), np.array([r.y for r in rows])
+
+    rng = np.random.default_rng(3)
+    weights, phase = rng.normal(size=(x.shape[1], 32)) / 6.0, rng.uniform(0, 2 * np.pi, 32)
+    scale = x.std(axis=0)
+    scale[scale < 1e-5] = 1.0
+    z = np.cos(np.clip((x - x.mean(axis=0)) / scale, -4, 4) @ weights + phase) * np.sqrt(2 / 32)
+    z = np.hstack([np.ones((len(x), 1)), z])
+    # ridge as an augmented least-squares problem, without normal equations
+    stacked = np.vstack([z, np.sqrt(1e-2 * len(x) / 32) * np.eye(33)])
+    coef = np.linalg.lstsq(stacked, np.concatenate([y, np.zeros(33)]), rcond=None)[0]
+    assert np.allclose(model.raw(x), z @ coef, atol=1e-6)
+    at = np.clip(((z @ coef + 0.5) / 2 * 64).astype(int), 0, 63)
+    calibrated = Q.isotonic(np.bincount(at, weights=y, minlength=64), np.bincount(at, minlength=64).astype(float))
+    assert np.mean(np.isclose(model.score(x), calibrated[at], atol=1e-6)) > 0.99  # rows at the edge of a bin may change sides
+    got = {r.doc_id: r.score for r in Q.scores(features, model).collect()}
+    assert len(got) == docs.count()
