@@ -101,6 +101,16 @@ def build(ctx: Context, out: str, models: list[str] | None = None, database: str
     return paths
 
 
+def create_views(ctx: Context) -> list[str]:
+    """A temporary view per source table and model, by its name, so that SQL can read them; returns the names.
+
+    Lazy models stay lazy: a view is a plan.  Models that were written are read from their tables."""
+    views = {f"source_{t}": df for t, df in ctx.raw.items()} | {n: ctx.ref(fn) for n, fn in quality.model_functions().items()}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def fact_database(out: str, build: str) -> str:
     """Catalog database of a build's bucketed facts."""
     return "clinlake_" + hashlib.md5(f"{out.rstrip('/')}/{build}".encode()).hexdigest()[:12]

@@ -144,3 +144,11 @@ def test_results_follow_changed_files(spark):
     assert Context.shared(spark, f"{folder}/sf") is ctx
     shutil.copy("/root/testdata/sf0.01/supplier.parquet", f"{folder}/sf/new.parquet")
     assert Context.shared(spark, f"{folder}/sf") is not ctx
+
+
+def test_models_are_views_by_name(spark):
+    names = warehouse.create_views(Context.shared(spark, SF_SMALL))
+    assert {"source_payers", "stg_payers", "int_encounter_enriched", "dim_date", "rpt_monthly_encounters"} <= set(names)
+    payers, sources = spark.sql("SELECT (SELECT count(*) FROM stg_payers), (SELECT count(*) FROM source_payers)").first()
+    assert payers == sources > 0
+    assert spark.sql("SELECT care_setting FROM int_encounter_enriched WHERE is_inpatient = 'Yes'").columns == ["care_setting"]
