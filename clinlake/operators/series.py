@@ -15,12 +15,13 @@ STEPS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval
 def dense_series(df: DataFrame, period: str, groups: Sequence[str], grain: str) -> DataFrame:
     """``df`` (one row per period and group) with a row for every period between the first and the last one.
 
-    The first and last period are scalar subqueries, kept inside the calendar; every distinct group explodes its own
+    The first and last period are one scalar subquery, kept inside the calendar; every distinct group explodes its own
     spine from them (as long as the calendar at most), and meets its rows in one NULL-safe equi-join, so nothing is
     joined pairwise.  Rows without a period, or with one outside the calendar, are kept as they are; other columns
     of a period that a group lacks are NULL."""
     known = df.filter(F.col(period).between(F.lit(CALENDAR_START).cast("date"), F.lit(CALENDAR_END).cast("date")))
-    first, last = (known.agg(f(period).alias("p")).scalar() for f in (F.min, F.max))
+    range_ = known.agg(F.struct(F.min(period).alias("first"), F.max(period).alias("last")).alias("range")).scalar()
+    first, last = range_["first"], range_["last"]
     spine = F.explode(F.sequence(first, last, F.expr(STEPS[grain]))).alias("_period")
     if groups:
         keys = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)])
