@@ -89,11 +89,29 @@ class Block:
             self.least[self.full] = np.minimum.reduceat(value, self.start)
             self.most[self.full] = np.maximum.reduceat(value, self.start)
 
+    def postings(self, part: np.ndarray) -> np.ndarray:
+        """Rows of the segments ``part`` (ascending), copied in runs of neighbours."""
+        start, end = self.start[part], self.start[part] + self.size[part]
+        gap = np.flatnonzero(start[1:] != end[:-1])
+        return np.concatenate([self.post[a:b] for a, b in zip(start[np.r_[0, gap + 1]].tolist(), end[np.r_[gap, -1]].tolist())])
+
+    def known_scores(self, queries: np.ndarray, ids: np.ndarray, k: int, rows: int = 512) -> np.ndarray:
+        """The k-th best exact score of each query among the first ``rows`` rows (-inf: not known)."""
+        some, own = self.rows[:rows], self.ids[:rows]
+        if len(own) <= k or not len(ids) or np.abs(some).max() * np.abs(queries).max() * queries.shape[1] >= 1 << 53:
+            return np.full(len(ids), -np.inf)
+        out = []
+        for at in range(0, len(ids), 1024):
+            scores = np.where(ids[at:at + 1024, None] == own, -np.inf, queries[at:at + 1024] @ some.T)
+            out.append(np.partition(scores, len(own) - k, axis=1)[:, len(own) - k])
+        return np.concatenate(out)
+
     def candidates(self, query: np.ndarray, own: int, k: int, known: float, steps: int = 2) -> np.ndarray:
         """Rows that may be among the best k with a score of at least ``known``, by bounds from segments.
 
-        The first half of the postings, in segments of descending impact, goes to all rows' accumulators; the
-        remaining segments are processed in ``steps`` and only for the rows that are still possible."""
+        The first three fifths of the postings, in segments of descending impact, go to all rows' accumulators; the
+        remaining segments are processed in ``steps`` and only for the rows that are still possible.  Where ``known``
+        is a score, rows are held against it and need no lower bounds."""
         n, dim = self.rows.shape
         floor = np.minimum(query * self.low, query * self.high)  # least contribution of each dimension
         base = floor.sum()
@@ -102,8 +120,9 @@ class Block:
         order = np.argsort(-gain_high[self.full], kind="stable")
         impact = self.full[order]  # segments by descending impact
         slack = 1e-9 * (np.abs(floor).sum() + gain_high.sum() + 1)
-        half = int(np.searchsorted(np.cumsum(self.size[order]), n * dim / 2)) + 1
-        stops = np.unique(np.linspace(half, len(impact), steps + 1).astype(int)) if len(impact) > half else [len(impact)]
+        first = int(np.searchsorted(np.cumsum(self.size[order]), n * dim * 0.6)) + 1
+        stops = np.unique(np.linspace(first, len(impact), steps + 1).astype(int)) if len(impact) > first else [len(impact)]
+        bounded = known > -np.inf
         done = np.zeros(len(gain_high), bool)
         alive = np.flatnonzero(self.ids != own)
         for i, stop in enumerate(stops):
@@ -112,18 +131,16 @@ class Block:
             rest = np.zeros(dim)
             np.maximum.at(rest, self.dim[impact[stop:]], gain_high[impact[stop:]])
             if i == 0:  # postings of the segments, for all rows
-                part = order[:stop]
-                size, seg = self.size[part], impact[:stop]
-                at = np.repeat(self.start[part] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                rows = self.post[at]
-                low = base + np.bincount(rows, np.repeat(gain_low[seg], size), n)[alive]
+                part = np.sort(order[:stop])
+                size, seg, rows = self.size[part], self.full[part], self.postings(part)
+                low = None if bounded else base + np.bincount(rows, np.repeat(gain_low[seg], size), n)[alive]
                 high = base + rest.sum() + np.bincount(rows, np.repeat(gain_high[seg] - rest[self.dim[seg]], size), n)[alive]
             else:
                 cells = self.cell[alive]
-                low = base + np.where(done, gain_low, 0.0)[cells].sum(axis=1)
-                high = base + np.where(done, gain_high, rest[self.dim])[cells].sum(axis=1)
+                low = None if bounded else base + np.where(done, gain_low, 0.0).take(cells).sum(axis=1)
+                high = base + np.where(done, gain_high, rest[self.dim]).take(cells).sum(axis=1)
             floor_k = known
-            if len(alive) >= k:
+            if not bounded and len(alive) >= k:
                 floor_k = max(known, np.partition(low, len(alive) - k)[len(alive) - k])
             alive = alive[high + slack >= floor_k - slack]
             if len(alive) <= 4 * k:  # proof: no other row can be among the best
@@ -137,10 +154,12 @@ def _search(ids: np.ndarray, queries: np.ndarray, k: int, block_rows: int):
 
         def take(block: Block) -> None:
             dim = block.rows.shape[1]
+            asked = np.zeros((len(ids), dim))
+            asked[:, :min(dim, queries.shape[1])] = queries[:, :dim]
+            known_here = block.known_scores(asked, ids, k) if any(len(x) < k for x in best) else None
             for i, own in enumerate(ids):
-                q = np.zeros(dim)
-                q[:min(dim, queries.shape[1])] = queries[i, :dim]
-                known = -best[i][-1][0] if len(best[i]) == k else -np.inf
+                q = asked[i]
+                known = -best[i][-1][0] if len(best[i]) == k else known_here[i]
                 rows = block.candidates(q, own, k, known)
                 found = [(-int(s), int(v)) for s, v in zip(exact(block.rows[rows], q), block.ids[rows]) if s >= known]
                 if found:

@@ -66,3 +66,25 @@ def test_components_that_overflow(spark):
     df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
     got = T.top_k(df.filter("vec_id % 50 = 0"), df).collect()
     assert len(got) == 20 and max(r.score for r in got) == (1 << 63) - 1
+
+
+def test_rows_are_held_against_a_known_score(monkeypatch):
+    """With a known score one accumulation per block and query is enough, and no row that reaches it is lost."""
+    rng = np.random.default_rng(8)
+    rows_ = np.floor(256 * rng.normal(size=(3000, 16)))
+    block, calls, count = T.Block(np.arange(3000), rows_), [], np.bincount
+    queries = rows_[:30]
+    known = block.known_scores(queries, np.arange(30), 5)
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: calls.append(1) or count(*a, **b))
+    for i in range(30):
+        scores = np.where(np.arange(3000) == i, -np.inf, rows_ @ queries[i])
+        assert known[i] == np.sort(scores[:512])[-5]
+        found = set(block.candidates(queries[i], i, 5, known[i]).tolist())
+        assert set(np.argsort(-scores, kind="stable")[:5].tolist()) <= found
+    assert len(calls) == 30
+
+
+def test_no_score_is_known_of_few_or_huge_rows():
+    ids = np.arange(5)
+    assert T.Block(ids, np.ones((5, 2))).known_scores(np.ones((1, 2)), ids[:1], 5).tolist() == [-np.inf]
+    assert T.Block(np.arange(9), np.full((9, 2), 1e100)).known_scores(np.ones((1, 2)), ids[:1], 5).tolist() == [-np.inf]
