@@ -37,3 +37,15 @@ def test_a_session_keeps_its_own_thresholds(spark, own):
     finally:
         spark.conf.set(STATIC, saved[0])
         spark.conf.set(MEASURED, saved[1]) if saved[1] else spark.conf.unset(MEASURED)
+
+
+def test_event_keys_are_shuffled_as_bytes(spark):
+    """Both shuffles of the clinical events carry a key's 16 bytes; the table has its 32 digits."""
+    import re
+
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+
+    events = E.queries()["fct_clinical_events"](spark, SF_SMALL)
+    assert re.search(r"unhex\(md5\(", events._jdf.queryExecution().optimizedPlan().toString())
+    assert events.filter("clinical_event_key RLIKE '^[0-9a-f]{32}$'").count() == events.count() > 0

@@ -21,6 +21,16 @@ def test_top1_orders_and_breaks_ties_deterministically(spark):
     assert [r.s for r in top1(dup, ["k"], []).collect()] == ["a"]
 
 
+def test_top1_shuffles_ascending_sort_fields_once(spark):
+    """Values that order the rows are no second time among the row's own ones; order, NULLs and ties stay as they are."""
+    df = spark.createDataFrame([("k", None, 1.0, "b", 1), ("k", "a", 2.0, "y", 2), ("k", "a", 2.0, "x", 3), ("k", "a", None, "a", 0), ("j", None, None, None, 4)],
+                               "k string, s string, v double, t string, n int")
+    top = top1(df, ["k"], [("s", "asc", "last"), ("v", "asc", "last")])
+    assert {r.k: tuple(r)[1:] for r in top.collect()} == {"k": ("a", 2.0, "x", 3), "j": (None, None, None, 4)}
+    assert top.columns == df.columns and "_row.s" not in top._jdf.queryExecution().analyzed().toString()
+    assert [tuple(r) for r in top1(df.select("k", "s"), ["k"], [("s", "asc", "last")]).orderBy("k").collect()] == [("j", None), ("k", "a")]
+
+
 def test_point_in_time_latest_overlapping_and_orphan(spark):
     ev = spark.createDataFrame([("e1", "p", D(1997, 6, 1)), ("e2", "p", D(2005, 1, 1)), ("e3", "q", D(1997, 1, 1))],
                                "eid string, pid string, d date")
